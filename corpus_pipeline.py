@@ -1,12 +1,42 @@
-"""A training-corpus pipeline: stages applied to ``documents`` in turn, each written before the next reads it."""
+"""A training-corpus pipeline: stages applied to ``documents`` in turn, each written before the next reads it.
+
+Each stage works on all rows that the one before kept. Rows with null ids or texts, repeated rows and empty tables are treated
+as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievemill.llm import packing
+from sievemill.llm import decontamination, language, near_dup, packing, toxicity
 from sievemill.llm.shared import written
 
+#: A document goes if it is this likely to be toxic; higher than the operator's own mark, so that clean documents stay.
+TOXIC = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not likely to be toxic."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, "toxicity_score").filter(F.col("toxicity_score") < TOXIC).select(docs.columns)
+
+
+def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that some learned language explains; texts without a letter go."""
+    found = language.identify(docs, language.train(docs), "language_found", "language_share")
+    return found.filter(F.col("language_found") != language.UNDETERMINED).select(docs.columns)
+
+
+def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dup.deduplicate(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as sequences of power-of-two lengths."""
@@ -15,7 +45,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("language", drop_undetermined), ("near_duplicates", drop_duplicates), ("decontamination", drop_leaks), ("packing", pack)]
 
 #: Trained models and hashing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None

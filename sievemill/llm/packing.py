@@ -25,8 +25,8 @@ from .shared import groups_of, ragged, text_views
 CAPACITY = 2048
 CLOSING = 1
 #: Distinct pre-tokens that a Python worker keeps the ids of before it starts its table anew.
-KEPT = 1_000_000
-SEGMENT = 1 << 20
+KEPT = 800_000
+SEGMENT = 1 << 19
 
 SCHEMA = "doc_id long, start long, length long, bucket int, doc_tokens long, ids binary"
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from . import packing, token_counts
+from . import archives, chat, decontamination, language, licenses, near_dup, packing, token_counts, toxicity, vector_search
 
 QUERIES = {
     "op1_pack_power_of_two": packing.op1_pack_power_of_two,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_minhash_forest": near_dup.op3_minhash_forest,
+    "op4_pivot_top_k": vector_search.op4_pivot_top_k,
+    "op5_chat_snapshots": chat.op5_chat_snapshots,
+    "op6_spaced_seeds": decontamination.op6_spaced_seeds,
+    "op7_language_mixture": language.op7_language_mixture,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_zip_warc": archives.op9_zip_warc,
+    "op10_license_join": licenses.op10_license_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: For the others SQL has no form; tests hold them against brute force, the tokenizer library or held-out labels.
+ORACLE_SQL = {"op4_pivot_top_k": vector_search.OP4_SQL, "op5_chat_snapshots": chat.OP5_SQL}

@@ -1,42 +1,15 @@
-"""What the corpus operators share: the shared folder, written intermediate tables and Arrow helpers."""
+"""What the corpus operators share: written intermediate tables and Arrow helpers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
 
+from sievemill.sources.shared_tables import new_path, remove, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own if that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="sievemill-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Cut the lineage: write ``df`` as a Parquet table in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a written table that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+__all__ = ["groups_of", "new_path", "ragged", "remove", "shared_dir", "text_views", "written"]
 
 
 def text_views(column: pa.Array | pa.ChunkedArray) -> tuple[memoryview, np.ndarray]:
@@ -73,7 +46,3 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.zeros(0, np.int64)
     return np.repeat(starts.astype(np.int64) - (ends - lengths), lengths) + np.arange(ends[-1])
-
-
-def batches(table: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(table[f.name], f.type) for f in schema], schema=schema)
