@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sievemill.operators.components import connected_components
 
-from .shared import groups_of, text_views, written
+from .shared import groups_of, remove, text_views, written
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -40,6 +40,7 @@ WINDOW = 4
 #: Sketched similarity below which a candidate is dropped: more than five deviations under the threshold.
 LEAST = 0.5
 SEGMENT = 1 << 20
+TABLE_BITS = 24
 
 _HASHES = TREES * DEPTH
 _RNG = np.random.default_rng(20)
@@ -224,14 +225,40 @@ def _confirm(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
-def candidate_pairs(trees: DataFrame) -> DataFrame:
-    """Distinct pairs of neighbours in the sorted orders of ``id, tree_key, sketch`` rows."""
+def candidate_pairs(trees: DataFrame) -> tuple[DataFrame, str]:
+    """Distinct pairs of neighbours in the sorted orders of ``id, tree_key, sketch`` rows, written, and where."""
     dealt = trees.repartitionByRange(F.col("tree_key")).sortWithinPartitions("tree_key")
-    near, _ = written(dealt.select("id", "tree_key", "sketch").mapInArrow(_neighbours, "a long, b long, tree_key binary, sketch binary"), "neighbours")
+    near, near_path = written(dealt.select("id", "tree_key", "sketch").mapInArrow(_neighbours, "a long, b long, tree_key binary, sketch binary"), "neighbours")
     # a few rows for each partition, whatever the size of the data
     edges = near.filter("b is null").select(F.col("a").alias("id"), "tree_key", "sketch").repartition(1).sortWithinPartitions("tree_key")
     across = edges.mapInArrow(_neighbours, "a long, b long, tree_key binary, sketch binary")
-    return near.union(across).filter("b is not null").select("a", "b").distinct()
+    pairs = written(near.union(across).filter("b is not null").select("a", "b").distinct(), "pairs")
+    remove(trees.sparkSession, near_path)
+    return pairs
+
+
+def _in_table(bits: np.ndarray):
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            place = batch.column(2).to_numpy()
+            keep = (bits[place >> 3] >> (place & 7)) & 1
+            yield batch.filter(pa.array(keep.astype(bool))).select([0, 1])
+
+    return run
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``doc_id, text`` whose id is wanted. A bit table of fixed size drops most others where they are read, so that not
+    all texts are shuffled; the join decides."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << TABLE_BITS))
+    own = wanted.select((place + 1).alias("v"))
+    pages = own.groupBy(F.bitmap_bucket_number("v").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect()
+    table = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
+    for r in pages:  # at most 2 ** TABLE_BITS bits in all
+        at = (r["page"] - 1) * len(r["bits"])
+        table[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    some = docs.filter("doc_id is not null").select("doc_id", "text", place.alias("place")).mapInArrow(_in_table(table), "doc_id long, text string")
+    return some.join(wanted, "doc_id", "left_semi").dropDuplicates()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -248,13 +275,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.concat(F.expr("substring(encode(char(tree), 'ISO-8859-1'), 1, 1)"), F.expr(f"substring(mins, 1 + {width} * tree, {width})")).alias("tree_key"),
         F.expr(f"substring(mins, {1 + TREES * width}, {_HASHES // 4})").alias("sketch"),
     )
-    trees, _ = written(trees, "trees")
-    pairs, _ = written(candidate_pairs(trees), "pairs")
+    spark = documents.sparkSession
+    trees, tree_path = written(trees, "trees")
+    pairs, pair_path = candidate_pairs(trees)
+    remove(spark, tree_path)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts, _ = written(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(), "texts")
+    texts, text_path = written(texts_of(docs, wanted), "texts")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     links, _ = written(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "links")
+    remove(spark, pair_path, text_path)
     found = connected_components(links, "a", "b")
     named, _ = written(classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component")), "named")
     out = scanned.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
