@@ -4,7 +4,10 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# Python workers import the modules that the tests' functions come from
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE.parent), str(HERE), os.environ.get("PYTHONPATH", "")])
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 SF = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
