@@ -99,7 +99,7 @@ def run(spark: SparkSession, config: Config) -> DataFrame:
     kept = stages.run("screened", lambda: screened(seed.drop("year_window"), detail.drop("ref_source", "ref_id"), config.pattern, config.scope))
     with_text, _ = screen.split_missing(kept)
     answers = stages.run("classified", lambda: classify(with_text, t["model"], f"{config.folder}/answers", config.policy_version, config.most_answers))
-    yes = screen.yes_only(answers)
+    yes = screen.yes_only(answers).drop("pos")
     rows = with_text.withColumn("paper_key", ids.paper_key(F.col("pos"), F.col("doi"), F.col("pmid"), F.col("pmcid"), F.col("title"))).join(yes, "paper_key")
     return stages.run("curation", lambda: curation_table(rows, config.policy_version))
 
