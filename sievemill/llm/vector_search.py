@@ -135,7 +135,8 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
 
     def block() -> DataFrame:
         sizes = sorted({len(x) for _, x in waiting})
-        own = [(np.array([i for i, x in waiting if len(x) == n]), np.array([x for _, x in waiting if len(x) == n], float).reshape(-1, n)) for n in sizes]
+        groups = [[(i, x) for i, x in waiting if len(x) == n] for n in sizes]
+        own = [(np.array([i for i, _ in g]), np.array([x for _, x in g], float).reshape(len(g), n)) for g, n in zip(groups, sizes, strict=True)]
         for _, q in own:
             pivots.setdefault(q.shape[1], q[:1])
         return vectors.mapInArrow(_search(own, pivots, k), schema)
