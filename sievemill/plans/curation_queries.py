@@ -34,7 +34,7 @@ def violations_report(spark, sf):
     return validate.violations(df, "o_orderkey", "o_orderkey", rules).select("row_pos", "column", "rule", "value")
 
 
-@query("SELECT quality AS grp, count(*) AS n, count_if(toxic = 1) AS manual, CAST(floor(count(*) * 0.05) AS BIGINT) AS chunk_limit, greatest(1, CAST(ceil(count(*) / 20.0) AS BIGINT)) AS final_limit, count_if(toxic = 1) > floor(count(*) * 0.05) AS exceeded FROM labels GROUP BY quality")
+@query("SELECT quality AS grp, count(*) AS n, CAST(count_if(toxic = 1) AS BIGINT) AS manual, CAST(floor(count(*) * 0.05) AS BIGINT) AS chunk_limit, greatest(1, CAST(ceil(count(*) / 20.0) AS BIGINT)) AS final_limit, count_if(toxic = 1) > floor(count(*) * 0.05) AS exceeded FROM labels GROUP BY quality")
 def manual_limit(spark, sf):
     rows = table(spark, sf, "labels").groupBy(F.col("quality").alias("grp")).agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("manual")).collect()  # two groups
     out = [(r.grp, r.n, r.manual, validate.chunk_review_limit(r.n), validate.final_review_limit(r.n), r.manual > validate.chunk_review_limit(r.n)) for r in rows]
@@ -77,8 +77,8 @@ def review_queue(spark, sf):
 @query(
     """
 WITH f AS (SELECT page_id FROM pages WHERE page_id % 3 <> 0 AND page_id % 5 = 0 AND page_id % 7 IN (0, 1))
-SELECT 'rows' AS metric, count(*) AS value FROM pages UNION ALL SELECT 'removed', count_if(page_id % 31 = 0) FROM pages UNION ALL SELECT 'groups', 1 UNION ALL SELECT 'group_rows', count_if(page_id % 31 = 0) FROM pages
-UNION ALL SELECT 'final', count(*) FROM f UNION ALL SELECT 'final_original', count_if(page_id % 2 = 0) FROM f
+SELECT 'rows' AS metric, count(*) AS value FROM pages UNION ALL SELECT 'removed', CAST(count_if(page_id % 31 = 0) AS BIGINT) FROM pages UNION ALL SELECT 'groups', 1 UNION ALL SELECT 'group_rows', CAST(count_if(page_id % 31 = 0) AS BIGINT) FROM pages
+UNION ALL SELECT 'final', count(*) FROM f UNION ALL SELECT 'final_original', CAST(count_if(page_id % 2 = 0) AS BIGINT) FROM f
 """
 )
 def final_candidates(spark, sf):

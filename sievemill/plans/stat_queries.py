@@ -89,7 +89,7 @@ def two_level_counts(spark, sf):
 
 @query(
     """
-SELECT count(*) AS rows, count_if(event_type = 'view') AS n_yes, count_if(event_type = 'click') AS n_no, CAST(sum(CASE WHEN event_id % 5 = 0 THEN 0 ELSE CAST(trunc(value) AS BIGINT) END) AS BIGINT) AS tokens, 0::BIGINT AS absent FROM events
+SELECT count(*) AS rows, CAST(count_if(event_type = 'view') AS BIGINT) AS n_yes, CAST(count_if(event_type = 'click') AS BIGINT) AS n_no, CAST(sum(CASE WHEN event_id % 5 = 0 THEN 0 ELSE CAST(trunc(value) AS BIGINT) END) AS BIGINT) AS tokens, 0::BIGINT AS absent FROM events
 """
 )
 def stage_summary(spark, sf):

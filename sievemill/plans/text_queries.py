@@ -55,7 +55,7 @@ WITH pool AS (
   SELECT text, source FROM (
     SELECT *, row_number() OVER (PARTITION BY lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) ORDER BY side, pos, source) AS k FROM pool) x WHERE k = 1
 )
-SELECT source, count(*) AS n_candidates, count_if(len({_TERMS.format("text", "licen[sc]es?|mit")}) > 0 AND len({_TERMS.format("text", "the|der|les|de")}) > 0) AS n_screened
+SELECT source, count(*) AS n_candidates, CAST(count_if(len({_TERMS.format("text", "licen[sc]es?|mit")}) > 0 AND len({_TERMS.format("text", "the|der|les|de")}) > 0) AS BIGINT) AS n_screened
 FROM firsts GROUP BY source
 """
 )
