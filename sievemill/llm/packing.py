@@ -12,6 +12,7 @@ gives no rows. A very long text is tokenized in segments, cut only where the tok
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ class Encoder:
     added token's string or an unassigned code point are given to the library whole."""
 
     def __init__(self, path: str, kept: int = KEPT):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core, and threads have memory of their own
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -46,26 +48,35 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # sorted hashes; arrays take a tenth of a dict's memory
+        self.places = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 20, np.uint32)
         self.used = 0
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
 
     def _learn(self, found: np.ndarray, words: list[str]) -> None:
-        encoded = self.library.encode_batch_fast(words, add_special_tokens=False)
-        n = len(self.known)
+        encoded = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        n, lengths = len(self.known), np.fromiter(map(len, encoded), np.int64, len(words))
         while n + len(words) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        for h, e in zip(found.tolist(), encoded, strict=True):
-            ids = e.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.starts[n], self.lengths[n] = self.used, len(ids)
-            self.known[h] = n
-            self.used += len(ids)
-            n += 1
+        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.starts[n : n + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[n : n + len(words)] = lengths
+        self.used += len(flat)
+        at = np.searchsorted(self.known, found)
+        self.known = np.insert(self.known, at, found)
+        self.places = np.insert(self.places, at, np.arange(n, n + len(words), dtype=np.int32))
+
+    def _known(self, found: np.ndarray) -> np.ndarray:
+        """Table rows of hashes, -1 where there is none."""
+        if not len(self.known):
+            return np.full(len(found), -1)
+        at = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
+        return np.where(self.known[at] == found, self.places[at], -1).astype(np.int64)
 
     def _segment(self, text: str, codes: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts that begin at ``heads``, and how many each has. Texts at the same place are empty but the last."""
@@ -74,7 +85,7 @@ class Encoder:
         distinct, first, inverse = np.unique(hashed, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > self.kept:
             self._clear()
-        at = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        at = self._known(distinct)
         new = np.flatnonzero(at < 0)
         if len(new):
             begun = len(self.known)
