@@ -25,8 +25,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievemill.operators.components import connected_components
 
@@ -237,27 +238,39 @@ def candidate_pairs(trees: DataFrame) -> tuple[DataFrame, str]:
     return pairs
 
 
-def _in_table(bits: np.ndarray):
+def _where(table: np.ndarray, marked: bool):
+    """Rows whose last column, a place in the bit table, is marked, or those where it is not; without that column."""
+
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            place = batch.column(2).to_numpy()
-            keep = (bits[place >> 3] >> (place & 7)) & 1
-            yield batch.filter(pa.array(keep.astype(bool))).select([0, 1])
+            last = batch.num_columns - 1
+            place = batch.column(last).fill_null(-1).to_numpy()
+            bit = ((table[place >> 3] >> (place & 7)) & 1).astype(bool) & (place >= 0)
+            yield batch.filter(pa.array(bit == marked)).select(list(range(last)))
 
     return run
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``doc_id, text`` whose id is wanted. A bit table of fixed size drops most others where they are read, so that not
-    all texts are shuffled; the join decides."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << TABLE_BITS))
-    own = wanted.select((place + 1).alias("v"))
+def _place(doc_id: Column) -> Column:
+    return F.when(doc_id.isNotNull(), F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(1 << TABLE_BITS)))
+
+
+def bit_table(ids: DataFrame) -> np.ndarray:
+    """A table of fixed size with a bit for the hash of each ``doc_id``."""
+    own = ids.select((_place(F.col("doc_id")) + 1).alias("v"))
     pages = own.groupBy(F.bitmap_bucket_number("v").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect()
     table = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
     for r in pages:  # at most 2 ** TABLE_BITS bits in all
         at = (r["page"] - 1) * len(r["bits"])
         table[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
-    some = docs.filter("doc_id is not null").select("doc_id", "text", place.alias("place")).mapInArrow(_in_table(table), "doc_id long, text string")
+    return table
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``doc_id, text`` whose id is wanted. A bit table of fixed size drops most others where they are read, so that not
+    all texts are shuffled; the join decides."""
+    placed = docs.filter("doc_id is not null").select("doc_id", "text", _place(F.col("doc_id")).alias("place"))
+    some = placed.mapInArrow(_where(bit_table(wanted), True), "doc_id long, text string")
     return some.join(wanted, "doc_id", "left_semi").dropDuplicates()
 
 
@@ -300,7 +313,13 @@ def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deduplicate(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each near-duplicate component, columns unchanged; rows that repeat both id and text are one."""
     judged, _ = written(near_duplicates(documents), "judged")
-    kept = documents.join(judged.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(documents.columns)
+    dropped, _ = written(judged.filter("not kept").select("doc_id").distinct(), "dropped")
+    # only rows whose bit is set can be dropped: the others are not shuffled
+    table, name = bit_table(dropped), "_" * (1 + max(map(len, documents.columns)))
+    placed = documents.withColumn(name, _place(F.col("doc_id")))
+    schema = T.StructType(documents.schema.fields)
+    marked = placed.mapInArrow(_where(table, True), schema).join(dropped, "doc_id", "left_anti").select(documents.columns)
+    kept = placed.mapInArrow(_where(table, False), schema).union(marked)
     repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
