@@ -9,7 +9,13 @@ spread over tasks; the rows at the partitions' edges are compared in a small pas
 drops candidates far from the threshold; all others are confirmed on the full sets of the texts. Components of the confirmed
 links follow by minimum labels.
 
-Candidates grow with classes x TREES x WINDOW, never with the square of a group.
+A run of classes that share a tree's first value and is longer than the window is crowded: some of its pairs have not met. Of
+those runs every pair whose components differ is compared by sketch, in rounds: each class outside its run's largest component
+first proposes its ASKED most similar classes of other components, the links found join components, and the last round proposes
+all that are left. A hub and its copies are so linked by the hub's pairs, without confirming those of the copies.
+
+Candidates of the window grow with classes x TREES x WINDOW. Sketches compared in a crowded run grow with its classes times those
+outside its largest component, and the pairs confirmed with those between components that may reach the threshold.
 
 Defined results: null and empty texts, and texts of white space, have the empty set, link with nothing and are kept; a text of
 fewer than five words has its whole sequence as its one shingle; a null ``doc_id`` takes no part: its row has a null
@@ -38,6 +44,10 @@ THRESHOLD = 75
 TREES = 16
 DEPTH = 8
 WINDOW = 4
+#: Candidates of a class in a crowded run by round, the most similar first; the last round takes all.
+ASKED = (8, 128, None)
+#: Sketch comparisons of a crowded run made at once.
+CELLS = 1 << 21
 #: Sketched similarity below which a candidate is dropped: more than five deviations under the threshold.
 LEAST = 0.5
 SEGMENT = 1 << 20
@@ -152,19 +162,21 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(buffers[2], np.uint8)[first : first + width * len(column)].reshape(-1, width)
 
 
+def _alike(x: np.ndarray) -> np.ndarray:
+    """Hashes whose two bits agree, of the xor of sketches as words in the last axis."""
+    return _HASHES - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(-1, dtype=np.int64)
+
+
 def _near(ids: np.ndarray, keys: np.ndarray, sketches: np.ndarray, old: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows at most WINDOW apart, the later one from ``old`` on, that agree in tree and first minimum and, by their
     sketches, may reach the threshold."""
     first = np.ascontiguousarray(keys[:, :5])
     words = np.ascontiguousarray(sketches).view(np.uint64)
-    odd = np.uint64(0x5555555555555555)
     left, right = [], []
     for step in range(1, WINDOW + 1):
         a = np.arange(max(0, old - step), len(ids) - step)
         a = a[(first[a] == first[a + step]).all(1) & (ids[a] != ids[a + step])]
-        x = words[a] ^ words[a + step]
-        same = _HASHES - np.bitwise_count((x | (x >> np.uint64(1))) & odd).sum(1, dtype=np.int64)
-        a = a[(same / _HASHES - 0.25) / 0.75 >= LEAST]
+        a = a[(_alike(words[a] ^ words[a + step]) / _HASHES - 0.25) / 0.75 >= LEAST]
         left.append(ids[a])
         right.append(ids[a + step])
     left, right = np.concatenate(left), np.concatenate(right)
@@ -175,7 +187,7 @@ _ROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree_key", pa.binary()
 
 
 def _neighbours(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs within a sorted partition, then the rows at its edges."""
+    """Candidate pairs within a sorted partition and the crowded runs' tree and first value, then the rows at its edges."""
     ids, keys, sketches = np.zeros(0, np.int64), np.zeros((0, 1 + 4 * DEPTH), np.uint8), np.zeros((0, _HASHES // 4), np.uint8)
     begun: list[tuple] = []
     for batch in found:
@@ -183,18 +195,71 @@ def _neighbours(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([ids, batch.column(0).to_numpy()])
         keys = np.concatenate([keys, _fixed(batch.column(1), keys.shape[1])])
         sketches = np.concatenate([sketches, _fixed(batch.column(2), sketches.shape[1])])
-        if len(begun) < WINDOW:
-            begun += list(zip(ids[old:], keys[old:], sketches[old:], strict=True))[: WINDOW - len(begun)]
+        if len(begun) <= WINDOW:
+            begun += list(zip(ids[old:], keys[old:], sketches[old:], strict=True))[: WINDOW + 1 - len(begun)]
         a, b = _near(ids, keys, sketches, old)
         pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         none = pa.nulls(len(pairs), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1])), none, none], schema=_ROW)
-        ids, keys, sketches = ids[-WINDOW:], keys[-WINDOW:], sketches[-WINDOW:]
+        # rows further apart than the window
+        first = keys[:, :5]
+        runs = np.unique(first[WINDOW + 1 :][(first[WINDOW + 1 :] == first[: -WINDOW - 1]).all(1)], axis=0)
+        none = pa.nulls(len(runs), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array([r.tobytes() for r in runs], pa.binary()), pa.nulls(len(runs), pa.binary())], schema=_ROW)
+        ids, keys, sketches = ids[-WINDOW - 1 :], keys[-WINDOW - 1 :], sketches[-WINDOW - 1 :]
     edge = begun + list(zip(ids, keys, sketches, strict=True))
     if edge:
         yield pa.RecordBatch.from_arrays([pa.array([int(x[0]) for x in edge], pa.int64()), pa.nulls(len(edge), pa.int64()), pa.array([x[1].tobytes() for x in edge], pa.binary()), pa.array([x[2].tobytes() for x in edge], pa.binary())], schema=_ROW)
 
 
+def _apart(ids: np.ndarray, groups: np.ndarray, sketches: np.ndarray, most: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of one run whose components differ and that, by their sketches, may reach the threshold: of each class outside the
+    largest component the ``most`` most similar ones, or all. A class with more has a row with a null ``b``."""
+    _, own, counts = np.unique(groups, return_inverse=True, return_counts=True)
+    asks = np.flatnonzero(own != counts.argmax())
+    words = np.ascontiguousarray(sketches).view(np.uint64)
+    step = max(1, CELLS // len(ids))
+    for i in range(0, len(asks), step):
+        q = asks[i : i + step]
+        same = _alike(words[q][:, None] ^ words[None])
+        may = ((same / _HASHES - 0.25) / 0.75 >= LEAST) & (own[q][:, None] != own[None])
+        over = np.flatnonzero(may.sum(1) > most) if most else np.zeros(0, np.int64)
+        if len(over):
+            top = np.argpartition(np.where(may[over], -same[over], 1), most - 1, axis=1)[:, :most]
+            may[over] = False
+            may[over[:, None], top] = True
+        row, column = np.nonzero(may)
+        a, b = ids[q[row]], ids[column]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        cut = pa.array(ids[q[over]])
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), cut]), pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 1])), pa.nulls(len(cut), pa.int64())])], names=["a", "b"])
+
+
+def _crowd(most: int | None):
+    """The pairs of ``_apart`` of each run of sorted ``run, id, component, sketch`` rows."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        key = None
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield from _apart(*(np.concatenate(x) for x in zip(*held, strict=True)), most)
+
+        for batch in found:
+            runs, ids, groups = _fixed(batch.column(0), 5), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            sketches = _fixed(batch.column(3), _HASHES // 4)
+            starts = np.flatnonzero(np.concatenate([[True], (runs[1:] != runs[:-1]).any(1)])[: len(runs)])
+            for s, e in zip(starts, np.append(starts[1:], len(runs)), strict=True):
+                if runs[s].tobytes() != key:
+                    yield from pairs()
+                    key, held = runs[s].tobytes(), []
+                held.append((ids[s:e].copy(), groups[s:e].copy(), sketches[s:e].copy()))
+        yield from pairs()
+
+    return run
+
+
 class _Sets:
     """The sets of the texts seen last."""
 
@@ -226,16 +291,49 @@ def _confirm(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
-def candidate_pairs(trees: DataFrame) -> tuple[DataFrame, str]:
-    """Distinct pairs of neighbours in the sorted orders of ``id, tree_key, sketch`` rows, written, and where."""
+def candidate_pairs(trees: DataFrame) -> tuple[DataFrame, str, DataFrame, str]:
+    """Distinct pairs of neighbours in the sorted orders of ``id, tree_key, sketch`` rows, and ``run, id, sketch`` of the crowded
+    runs, each written, and where."""
     dealt = trees.repartitionByRange(F.col("tree_key")).sortWithinPartitions("tree_key")
     near, near_path = written(dealt.select("id", "tree_key", "sketch").mapInArrow(_neighbours, "a long, b long, tree_key binary, sketch binary"), "neighbours")
     # a few rows for each partition, whatever the size of the data
-    edges = near.filter("b is null").select(F.col("a").alias("id"), "tree_key", "sketch").repartition(1).sortWithinPartitions("tree_key")
+    edges = near.filter("a is not null and b is null").select(F.col("a").alias("id"), "tree_key", "sketch").repartition(1).sortWithinPartitions("tree_key")
     across = edges.mapInArrow(_neighbours, "a long, b long, tree_key binary, sketch binary")
-    pairs = written(near.union(across).filter("b is not null").select("a", "b").distinct(), "pairs")
+    pairs, pair_path = written(near.union(across).filter("b is not null").select("a", "b").distinct(), "pairs")
+    runs = near.union(across).filter("a is null").select(F.col("tree_key").alias("run")).distinct()
+    placed = trees.select(F.expr("substring(tree_key, 1, 5)").alias("run"), "id", "sketch")
+    crowded, crowded_path = written(placed.join(runs, "run", "left_semi"), "crowded")
     remove(trees.sparkSession, near_path)
-    return pairs
+    return pairs, pair_path, crowded, crowded_path
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs ``a, b`` whose texts' full sets reach the threshold, written."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts, text_path = written(texts_of(docs, wanted), "texts")
+    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    links, _ = written(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "links")
+    remove(docs.sparkSession, text_path)
+    return links
+
+
+def joined_crowds(docs: DataFrame, crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """``id, component`` after all links within the crowded runs."""
+    for most in ASKED:
+        known = crowded.join(found, "id", "left").select("run", "id", F.coalesce("component", "id").alias("component"), "sketch")
+        asked = known.repartition("run").sortWithinPartitions("run").mapInArrow(_crowd(most), "a long, b long")
+        proposed, path = written(asked.distinct(), "proposed")
+        left_out = not proposed.filter("b is null").isEmpty()
+        pairs = proposed.filter("b is not null")
+        if not pairs.isEmpty():
+            links = confirmed(docs, pairs)
+            if not links.isEmpty():
+                found = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links), "a", "b")
+        remove(docs.sparkSession, path)
+        if not left_out:
+            break
+    return found
 
 
 def _where(table: np.ndarray, marked: bool):
@@ -290,15 +388,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     spark = documents.sparkSession
     trees, tree_path = written(trees, "trees")
-    pairs, pair_path = candidate_pairs(trees)
+    pairs, pair_path, crowded, crowded_path = candidate_pairs(trees)
     remove(spark, tree_path)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts, text_path = written(texts_of(docs, wanted), "texts")
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    links, _ = written(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), "links")
-    remove(spark, pair_path, text_path)
-    found = connected_components(links, "a", "b")
+    links = confirmed(docs, pairs)
+    remove(spark, pair_path)
+    found = joined_crowds(docs, crowded, connected_components(links, "a", "b"))
+    remove(spark, crowded_path)
     named, _ = written(classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component")), "named")
     out = scanned.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

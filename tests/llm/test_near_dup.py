@@ -67,6 +67,21 @@ def test_large_groups_of_copies(spark):
     assert got == want
 
 
+def test_hub_of_copies_that_are_not_alike(spark):
+    rng = np.random.default_rng(8)
+    words = cases.text(400, 55).split()
+    # each leaf has edits of its own: about 0.76 with the hub, 0.58 with one another
+    leaf = lambda: " ".join(f"y{rng.integers(1 << 40)}" if p in places else w for p, w in enumerate(words))
+    rows = [(0, " ".join(words))]
+    for i in range(1, 1001):
+        places = set((np.arange(11) * 36 + rng.integers(2, 30, 11)).tolist())
+        rows.append((i, leaf()))
+    want = brute(rows)
+    assert {c for _, c in want.values()} == {0}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(cases.documents(spark, rows)).collect()}
+    assert got == want
+
+
 def test_awkward_rows(spark):
     rows = near_dup.near_duplicates(cases.documents(spark)).collect()
     assert len(rows) == len(cases.TEXTS)
