@@ -3,8 +3,9 @@
 A seed mask looks at some of the token positions it spans and ignores the others, so a seed still matches where an ignored token
 was substituted. Every placement of every mask on the benchmark items is hashed; training texts are hashed with the same masks
 and joined to those hashes, first through a bit table, then by search in the sorted hashes. Around each hit the two token
-sequences are compared along the hit's diagonal, and the best stretch in which at most a fifth of the tokens differ is the
-overlap. A document leaks an item if the overlap spans LEAST tokens, or the whole item where that is shorter.
+sequences are compared along the hit's diagonal, and the longest stretch in which at most a fifth of the tokens differ is the
+overlap. A document leaks an item if the overlap spans LEAST tokens, or the whole item where that is shorter. Every such stretch
+has five tokens in a row of which at most one differs, and so a seed: the masks cover each place of that one.
 
 The benchmark is a stated query set: it is read in blocks of at most BLOCK_TOKENS tokens, each broadcast to one pass over the
 documents, so what is broadcast is bounded however large the benchmark is. There is no shuffle, and a passage that very many
@@ -31,7 +32,7 @@ from .ngrams import Words
 from .shared import groups_of, ragged, text_views
 
 #: 1: the token counts; 0: any token.
-MASKS = ("11111", "1101011", "11001101", "101100111")
+MASKS = ("1111", "10111", "11011", "11101")
 LEAST = 13
 SHORTEST = 5
 #: What a differing token costs against a matching one: 4 admits one in five.
@@ -103,13 +104,17 @@ class Block:
         text = np.searchsorted(bounds, a, "right") - 1
         item = np.searchsorted(self.bounds, b, "right") - 1
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for t, i, shift in np.unique(np.stack([text, item, a - b], 1), axis=0).tolist():
+        hits = np.unique(np.stack([text, item, a - b], 1), axis=0)
+        t, i, shift = hits.T
+        shared = np.minimum(self.bounds[i + 1], bounds[t + 1] - shift) - np.maximum(self.bounds[i], bounds[t] - shift)
+        for t, i, shift in hits[shared >= np.minimum(LEAST, np.diff(self.bounds)[i])].tolist():
             begin, end = max(int(self.bounds[i]), int(bounds[t]) - shift), min(int(self.bounds[i + 1]), int(bounds[t + 1]) - shift)
             same = self.found[begin:end] == found[begin + shift : end + shift]
             run = np.concatenate([[0], np.cumsum(np.where(same, 1, -COST))])
-            floor = np.minimum.accumulate(run)
-            stop = int(np.argmax(run - floor))
-            start = int(np.argmin(run[: stop + 1]))
+            # for each end the first start from which the run does not fall
+            starts = np.searchsorted(-np.minimum.accumulate(run), -run, "left")
+            stop = int(np.argmax(np.arange(len(run)) - starts))
+            start = int(starts[stop])
             whole = int(self.bounds[i + 1] - self.bounds[i])
             if stop - start >= min(LEAST, whole):
                 new = (begin + shift + start - int(bounds[t]), stop - start, int(same[start:stop].sum()))

@@ -59,6 +59,37 @@ def test_leaks_are_those_of_all_diagonals(spark):
     assert got == want and {i for i, _ in got} == {i for i, _ in docs if i % 2}
 
 
+def longest(texts, bench):
+    """The longest stretch of each text and item over every diagonal with at most one differing token in five."""
+    found = {}
+    for i, t in texts:
+        a = t.lower().split()
+        for j, b in bench:
+            b = b.lower().split()
+            for shift in range(-len(b) + 1, len(a)):
+                same = [a[k + shift] == b[k] for k in range(max(0, -shift), min(len(b), len(a) - shift))]
+                for s in range(len(same)):
+                    for e in range(s + min(D.LEAST, len(b)), len(same) + 1):
+                        if 5 * (e - s - sum(same[s:e])) <= e - s:
+                            found[i, j] = max(found.get((i, j), 0), e - s)
+    return found
+
+
+def test_substitutions_at_every_place(spark):
+    sizes = (5, 7, 9, 13, 15, 16, 20)
+    bench = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in sizes]
+    docs = []
+    for n, t in bench:
+        for p in range(n):
+            for q in range(p, n, 3):
+                own = t.split()
+                own[p] = own[q] = "other"
+                docs.append((len(docs), " ".join(["before", "it", *own, "after", "it"])))
+    want = longest(docs, bench)
+    got = {(r.doc_id, r.item_id): r.length for r in D.leaks(cases.documents(spark, docs), items(spark, bench)).collect()}
+    assert got == want and len(want) > len(docs) / 2
+
+
 def test_blocks_do_not_matter(spark, monkeypatch):
     docs, bench = planted()
     whole = {tuple(r) for r in D.leaks(cases.documents(spark, docs), items(spark, bench)).collect()}
