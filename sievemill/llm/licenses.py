@@ -4,8 +4,8 @@ A block is a line. For the join its words are a set, of which only words that oc
 an overlap. All template words are ordered by the number of documents that hold them, the rarest first. A template of n words
 reaches the containment threshold only with ceil(threshold * n) of them in the block, so one of its first words in that order
 must be there (prefix filter), the block needs that many template words (length filter), and what may still follow in both
-orders after a shared prefix word has to suffice (positional filter). What passes is counted in full. A block takes the
-templates of its largest overlap.
+orders after a shared prefix word has to suffice (positional filter). What passes is counted in full. A block takes every
+template that reaches the threshold, less those whose words in the block are only some of another one's.
 
 Everything is a DataFrame expression. The templates are constants of this module and their rows are broadcast. Documents are
 never shuffled with their texts.
@@ -141,11 +141,13 @@ def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     pairs = words.join(F.broadcast(prefixes), "word", "left")  # a few rows for each template
     rest = 1 + F.least(F.col("t_size") - F.col("t_place") - 1, F.size("b_words") - F.col("b_place") - 1)
     passes = (F.size("b_words") >= F.col("need")) & (rest >= F.col("need"))
-    overlap = F.when(passes, F.size(F.array_intersect("b_words", "t_words")))
-    matched = F.when(overlap >= F.col("need"), F.struct(overlap.alias("overlap"), (overlap / F.col("t_size")).alias("share"), F.col("label").alias("label")))
+    common = F.when(passes, F.array_intersect("b_words", "t_words"))
+    overlap = F.size(common)
+    matched = F.when(overlap >= F.col("need"), F.struct(common.alias("common"), (overlap / F.col("t_size")).alias("share"), F.col("label").alias("label")))
     keys = ["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_list"]
     found = pairs.select(*keys, "block", matched.alias("m")).groupBy(*keys).agg(F.collect_set(F.when(F.col("m").isNotNull(), F.struct("block", "m"))).alias("ms"))
-    best = F.filter("ms", lambda x: ~F.exists("ms", lambda y: (y.block == x.block) & (y.m.overlap > x.m.overlap)))
+    within = lambda x, y: (F.size(y.m.common) > F.size(x.m.common)) & (F.size(F.array_except(x.m.common, y.m.common)) == 0)
+    best = F.filter("ms", lambda x: ~F.exists("ms", lambda y: (y.block == x.block) & within(x, y)))
     labels = F.array_sort(F.array_union("base_list", F.transform(best, lambda x: x.m.label)))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("ms", lambda x: x.m.share)), F.lit(0.0)))
     return found.select(

@@ -61,3 +61,11 @@ def test_query(spark, sf):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert {r.doc_id: result(r) for r in out.collect()} == {i: brute(t) for i, t in docs.items()}
+
+
+def test_every_notice_of_a_line_counts(spark):
+    by = {label: [t for la, t in L.TEMPLATES if la == label] for label, _ in L.TEMPLATES}
+    both = by["gpl"][0] + ". " + by["bsd"][0]
+    nc = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"
+    got = {r.doc_id: r.labels for r in L.scan(cases.documents(spark, [(1, both), (2, by["isc"][0] + " or " + by["mit"][1]), (3, nc)])).collect()}
+    assert got == {1: "bsd,gpl", 2: "isc,mit", 3: "cc-by-nc"}
