@@ -1,6 +1,7 @@
 """License scans: places of fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. For the join its words are a set, of which only words that occur in a template count: others add nothing to
+A block is a line, or a window of words whatever the line breaks: windows are twice as long as the longest template and each
+overlaps half of the next, so that a notice wrapped over lines lies whole in one. For the join a block's words are a set, of which only words that occur in a template count: others add nothing to
 an overlap. All template words are ordered by the number of documents that hold them, the rarest first. A template of n words
 reaches the containment threshold only with ceil(threshold * n) of them in the block, so one of its first words in that order
 must be there (prefix filter), the block needs that many template words (length filter), and what may still follow in both
@@ -45,6 +46,9 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
+#: Words from one window to the next.
+STEP = max(len(t.split(" ")) for _, t in TEMPLATES)
+
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -110,7 +114,7 @@ def template_rows(spark: SparkSession, order: list[str], containment: float) ->
 
 def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks`` of every row: the phrases' places
-    and labels, the labels with those of the join, the largest containment (1 with a phrase), and how many blocks matched."""
+    and labels, the labels with those of the join, the largest containment (1 with a phrase), and how many lines matched, or windows where no line did."""
     spark = documents.sparkSession
     order = word_order(documents)
     prefixes = template_rows(spark, order, containment)
@@ -121,11 +125,15 @@ def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     ordered = F.array(*map(F.lit, order))
     # without a prefix word no line can match
     some = F.arrays_overlap(F.split("words", " "), F.array(*map(F.lit, firsts)))
-    blocks = F.when(some, F.transform(F.split("low", "\n"), lambda line: F.array_intersect(ordered, F.split(spaced(line), " "))))
+    lines = F.when(some, F.transform(F.split("low", "\n"), lambda line: F.array_intersect(ordered, F.split(spaced(line), " "))))
     least = min(r.need for r in prefixes.select("need").distinct().collect())
-    blocks = F.filter(blocks, lambda b: F.size(b) >= least)
+    lines = F.filter(lines, lambda b: F.size(b) >= least)
+    # the words are bound once, not split for each window
+    of = lambda own: F.transform(F.sequence(F.lit(1), F.size(own), F.lit(STEP)), lambda i: F.array_intersect(ordered, F.slice(own, i, 2 * STEP)))
+    windows = F.when(some, F.flatten(F.transform(F.array(F.split("words", " ")), of)))
+    windows = F.filter(windows, lambda b: F.size(b) >= least)
     starts = F.when(_any_base(F.col("words")), phrase_starts(F.col("words")))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", starts.alias("base"), blocks.alias("blocks"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", starts.alias("base"), lines.alias("lines"), windows.alias("windows"))
     base = F.coalesce("base", F.array().cast("array<struct<start:bigint,label:string>>"))
     rows = rows.select(
         "row",
@@ -135,7 +143,8 @@ def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
         F.array_min(F.transform(base, lambda b: b.start)).cast("long").alias("first_word"),
         F.array_max(F.transform(base, lambda b: b.start)).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(F.transform(base, lambda b: b.label))).alias("base_list"),
-        F.posexplode_outer("blocks").alias("block", "b_words"),
+        F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"),
+        F.posexplode_outer(F.concat("lines", "windows")).alias("block", "b_words"),
     )
     words = rows.select("*", F.posexplode_outer("b_words").alias("b_place", "word"))
     pairs = words.join(F.broadcast(prefixes), "word", "left")  # a few rows for each template
@@ -144,12 +153,14 @@ def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     common = F.when(passes, F.array_intersect("b_words", "t_words"))
     overlap = F.size(common)
     matched = F.when(overlap >= F.col("need"), F.struct(common.alias("common"), (overlap / F.col("t_size")).alias("share"), F.col("label").alias("label")))
-    keys = ["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_list"]
+    keys = ["row", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_list", "n_lines"]
     found = pairs.select(*keys, "block", matched.alias("m")).groupBy(*keys).agg(F.collect_set(F.when(F.col("m").isNotNull(), F.struct("block", "m"))).alias("ms"))
     within = lambda x, y: (F.size(y.m.common) > F.size(x.m.common)) & (F.size(F.array_except(x.m.common, y.m.common)) == 0)
     best = F.filter("ms", lambda x: ~F.exists("ms", lambda y: (y.block == x.block) & within(x, y)))
     labels = F.array_sort(F.array_union("base_list", F.transform(best, lambda x: x.m.label)))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("ms", lambda x: x.m.share)), F.lit(0.0)))
+    blocks = F.array_distinct(F.transform("ms", lambda x: x.block))
+    of_lines = F.size(F.filter(blocks, lambda b: b < F.col("n_lines")))
     return found.select(
         "doc_id",
         "n_words",
@@ -159,7 +170,7 @@ def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
         F.array_join("base_list", ",").alias("base_labels"),
         F.array_join(F.array_distinct(labels), ",").alias("labels"),
         score.alias("score"),
-        F.size(F.array_distinct(F.transform("ms", lambda x: x.block))).alias("n_blocks"),
+        F.when(of_lines > 0, of_lines).otherwise(F.size(blocks)).alias("n_blocks"),
     )
 
 

@@ -69,3 +69,15 @@ def test_every_notice_of_a_line_counts(spark):
     nc = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"
     got = {r.doc_id: r.labels for r in L.scan(cases.documents(spark, [(1, both), (2, by["isc"][0] + " or " + by["mit"][1]), (3, nc)])).collect()}
     assert got == {1: "bsd,gpl", 2: "isc,mit", 3: "cc-by-nc"}
+
+
+def test_wrapped_notices(spark):
+    rows, want = [], {}
+    for k, (label, text) in enumerate(L.TEMPLATES):
+        own = text.split()
+        for n in (4, 7, 12):
+            wrapped = "\n".join("# " + " ".join(own[i : i + n]) for i in range(0, len(own), n))
+            rows.append((len(rows), "\n".join([cases.text(17 * k + n, k), wrapped, cases.text(90, k + 1)])))
+            want[rows[-1][0]] = label
+    got = {r.doc_id: (r.labels.split(","), r.score) for r in L.scan(cases.documents(spark, rows)).collect()}
+    assert all(label in got[i][0] and got[i][1] == 1.0 for i, label in want.items())
