@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from sievemill.llm import decontamination, language, near_dup, packing, toxicity
 from sievemill.llm.shared import written
 
-#: A document goes if it is this likely to be toxic; higher than the operator's own mark, so that clean documents stay.
-TOXIC = 0.5
+#: A document goes if the operator would call it toxic.
+TOXIC = toxicity.THRESHOLD
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

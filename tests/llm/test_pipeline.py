@@ -32,3 +32,11 @@ def test_stages_decide(spark, sf):
 
 def test_nothing_in_nothing_out(spark, tmp_path):
     assert C.run(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_what_the_operator_calls_toxic_goes(spark, tmp_path, monkeypatch):
+    at = tables(spark, tmp_path, [(i, cases.text(20, i)) for i in range(6)])
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    monkeypatch.setattr(C.toxicity, "train", lambda docs, labels: None)
+    monkeypatch.setattr(C.toxicity, "score", lambda docs, model, name: docs.withColumn(name, docs.doc_id / 10))
+    assert {r.doc_id for r in C.drop_toxic(spark, docs, at).collect()} == {0, 1, 2}
