@@ -12,7 +12,7 @@ documents, so what is broadcast is bounded however large the benchmark is. There
 documents share costs each of them its own comparison only.
 
 Tokens are runs of letters and digits in lower case. Defined results: null and empty texts leak nothing; items of fewer than
-SHORTEST tokens are too short to tell and never leak; repeated items or rows are each reported; null ids come back as null;
+SHORTEST tokens leak where they stand word for word; repeated items or rows are each reported; null ids come back as null;
 empty tables give no leaks; other columns are not read.
 """
 
@@ -32,7 +32,9 @@ from .ngrams import Words
 from .shared import groups_of, ragged, text_views
 
 #: 1: the token counts; 0: any token.
-MASKS = ("1111", "10111", "11011", "11101")
+MASKS = ("1111", "10111", "11011", "11101", "1", "11", "111")
+#: Shorter masks are for items of just their length.
+SPAN = 4
 LEAST = 13
 SHORTEST = 5
 #: What a differing token costs against a matching one: 4 admits one in five.
@@ -80,7 +82,14 @@ class Block:
         found = np.concatenate([t for _, t in self.items])
         self.bounds = np.concatenate([[0], np.cumsum([len(t) for _, t in self.items])])
         self.found = found
-        own = [seeds(found, self.bounds, k) for k in range(len(MASKS))]
+        own = []
+        for k in range(len(MASKS)):
+            h, at = seeds(found, self.bounds, k)
+            if len(MASKS[k]) < SPAN:
+                whole = np.diff(self.bounds)[np.searchsorted(self.bounds, at, "right") - 1] == len(MASKS[k])
+                h, at = h[whole], at[whole]
+            own.append((h, at))
+        self.masks = [k for k, (h, _) in enumerate(own) if len(h)]
         h, at = np.concatenate([x for x, _ in own]), np.concatenate([x for _, x in own])
         order = np.argsort(h, kind="stable")
         self.hashes, self.places = h[order], at[order]
@@ -91,7 +100,7 @@ class Block:
         """The best overlap of each text and item that leaks: text, item, first token in the text, tokens, matching tokens."""
         found, bounds = tokens(texts)
         left, right = [], []
-        for mask in range(len(MASKS)):
+        for mask in self.masks:
             h, at = seeds(found, bounds, mask)
             hit = self.table[h >> np.uint64(64 - TABLE_BITS)]
             h, at = h[hit], at[hit]
@@ -128,7 +137,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
     items, n = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         found = tokens([row.text or ""])[0]
-        if len(found) >= SHORTEST:
+        if len(found):
             items.append((row.item_id, found))
             n += len(found)
         if n >= BLOCK_TOKENS:

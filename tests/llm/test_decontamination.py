@@ -90,6 +90,13 @@ def test_substitutions_at_every_place(spark):
     assert got == want and len(want) > len(docs) / 2
 
 
+def test_short_items_leak_word_for_word(spark):
+    bench = [(1, "zebra"), (2, "red fox"), (3, "a b c"), (4, "one two three four"), (5, "!")]
+    docs = [(1, "the Zebra."), (2, "a red-fox"), (3, "x a b c d"), (4, "one two three four"), (5, "fox red, a b d, one two three five")]
+    got = {(r.doc_id, r.item_id) for r in D.leaks(cases.documents(spark, docs), items(spark, bench)).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 4)}
+
+
 def test_blocks_do_not_matter(spark, monkeypatch):
     docs, bench = planted()
     whole = {tuple(r) for r in D.leaks(cases.documents(spark, docs), items(spark, bench)).collect()}
