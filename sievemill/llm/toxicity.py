@@ -147,10 +147,13 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 30, see
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a bounded sample of the labelled rows outside the held-out fold, taken by a hash of the id."""
+    """Fit on a bounded sample of the labelled rows outside the held-out fold, taken by a hash of the id from those whose text is
+    there and within SAMPLE_BYTES."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
     n, n_toxic = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    picks = [r for c in (0, 1) for r in known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS).collect()]
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter((F.octet_length("text") <= SAMPLE_BYTES) & (F.octet_length("text") > 0))
+    usable = known.join(texts.select("doc_id"), "doc_id", "left_semi")
+    picks = [r for c in (0, 1) for r in usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS).collect()]
     label: dict[int, int] = {}
     for r in picks:
         label[r.doc_id] = max(r.toxic, label.get(r.doc_id, 0))
@@ -159,9 +162,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         return Model(np.zeros(1 << BITS, np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     chosen = documents.sparkSession.createDataFrame([(i,) for i in sorted(label)], "doc_id long")
     rows = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(F.broadcast(chosen), "doc_id", "left_semi")  # at most 2 * PER_CLASS ids
-        .filter((F.octet_length("text") <= SAMPLE_BYTES) & (F.octet_length("text") > 0))
+        texts.join(F.broadcast(chosen), "doc_id", "left_semi")  # at most 2 * PER_CLASS ids
         .dropDuplicates(["doc_id"])
         .collect()
     )

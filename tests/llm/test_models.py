@@ -120,3 +120,10 @@ def test_language_of_awkward_rows(spark):
     nothing = language.train(docs.filter("lang is null"))
     assert {r.found for r in language.identify(docs, nothing, "found", "share").collect()} == {"und"}
     assert language.identify(cases.documents(spark, []), model, "found", "share").count() == 0
+
+
+def test_labels_without_a_usable_text_take_no_place(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PER_CLASS", 6)
+    docs = cases.documents(spark, [(i, cases.text(30, i) + (" awful" if i % 2 else "")) for i in range(40)] + [(i, "long " * 2000) for i in range(40, 400)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels).weights.any()
