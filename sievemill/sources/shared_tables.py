@@ -4,21 +4,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths written within the scopes that are open, the innermost last.
+_SCOPES: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own if that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, one of our own, if driver and
+    executors are one process; on a cluster it is an error, as executors don't see the driver's disk."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="sievemill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -36,3 +52,27 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        for made in _SCOPES:
+            if path in made:
+                made.remove(path)
+
+
+@contextmanager
+def only(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Delete all tables written within the block but those that ``keep(df, path)`` names: results that a later plan reads. A scope
+    around this one deletes those in its turn, unless it keeps them too."""
+    made: list[str] = []
+    kept: list[str] = []
+    _SCOPES.append(made)
+
+    def keep(df: DataFrame, path: str) -> DataFrame:
+        kept.append(path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(made)
+        remove(spark, *[p for p in made if p not in kept])
+        if _SCOPES:
+            _SCOPES[-1].extend(kept)
