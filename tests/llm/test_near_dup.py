@@ -1,4 +1,5 @@
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -108,3 +109,73 @@ def test_sketch_estimates():
     a = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x, y = near_dup.signature(np.sort(a[:900])), near_dup.signature(np.sort(a[100:]))
     assert (x == y).mean() == pytest.approx(0.8, abs=0.15)
+
+
+def test_wide_sketch_estimates():
+    rng = np.random.default_rng(1)
+    for n in (40, 400, 20_000):
+        both = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 2 * n, dtype=np.uint64)
+        for apart, good in ((0.12, True), (0.4, False)):
+            k = int(n * apart)
+            x, y = np.unique(both[:n]), np.unique(both[k : n + k])
+            rows = [np.frombuffer(near_dup.wide_sketch(s), np.uint64)[None] for s in (x, y)]
+            share, may = near_dup._may_be_linked(*rows, np.array([n]), np.array([n]))
+            assert share[0] == pytest.approx((1 - apart) / (1 + apart), abs=0.1) and may[0] == good
+
+
+def near_copies(n, n_words=150):
+    """Copies of one text that differ in a few words of their own."""
+    rng = np.random.default_rng(12)
+    words = cases.text(n_words, 31).split()
+    return [(i, edited([w if p != i % n_words else f"v{i}" for p, w in enumerate(words)], rng.choice(n_words, 1 + i % 2, replace=False))) for i in range(n)]
+
+
+def test_a_large_group_of_near_copies(spark):
+    rows = near_copies(5000) + [(10_000 + i, cases.text(60, 20_000 + i)) for i in range(200)]
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in near_dup.near_duplicates(cases.documents(spark, rows).repartition(7)).collect()]
+    assert {c for i, _, c in got if i < 10_000} == {0} and all(i == c for i, _, c in got if i >= 10_000)
+    again = [(r.doc_id, r.n_shingles, r.component_id) for r in near_dup.near_duplicates(cases.documents(spark, rows).repartition(3)).collect()]
+    assert sorted(got) == sorted(again)
+
+
+def test_passages_that_many_share(spark):
+    # two texts in five share nothing but a long passage: the runs are crowded, and copies among them are still found
+    passage = cases.text(70, 3)
+    rows = []
+    for i in range(900):
+        own = cases.text(60, 50_000 + i).split()
+        rows.append((2 * i, passage + " " + " ".join(own)))
+        if i % 9 == 0:
+            rows.append((2 * i + 1, passage + " " + edited(own, [7, 33])))
+    want = {i: v for i, v in brute(rows).items()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(cases.documents(spark, rows)).collect()}
+    assert got == want and len({c for _, c in want.values()}) == 900
+
+
+def test_texts_that_share_an_id_are_one_document(spark):
+    a, b = cases.text(60, 1), cases.text(60, 2)
+    rows = near_dup.near_duplicates(cases.documents(spark, [(1, a), (5, a), (2, b), (5, b), (7, a + " x"), (7, None)])).collect()
+    assert {r.component_id for r in rows if r.n_shingles} == {1} and len(rows) == 6
+    alone = near_dup.near_duplicates(cases.documents(spark, [(5, a), (5, b), (5, b), (6, b + " x")])).collect()
+    assert {r.component_id for r in alone} == {5}
+
+
+def test_written_tables_go(spark):
+    from sievemill.llm.shared import shared_dir
+
+    before = set(Path(shared_dir(spark).removeprefix("file://")).iterdir())
+    near_dup.near_duplicates(cases.documents(spark)).count()
+    assert len(set(Path(shared_dir(spark).removeprefix("file://")).iterdir()) - before) == 1
+
+
+def test_recall_over_ten_thousand_documents(spark):
+    sf = Path("/root/testdata/sf0.1")
+    if not sf.exists():
+        pytest.skip("test tables are not here")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs).collect()}
+    joined = [i for i, (_, c) in want.items() if c != i]
+    assert len(joined) > 300 and sum(got[i] == want[i] for i in joined) >= 0.999 * len(joined)
+    assert all(got[i][0] == n for i, (n, _) in want.items()) and all(got[i][1] == c for i, (_, c) in want.items() if c == i)
