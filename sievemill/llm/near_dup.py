@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -308,51 +309,87 @@ def _proposed(a: np.ndarray, b: np.ndarray, cut: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), more]), pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 1])), pa.nulls(len(more), pa.int64())])], names=["a", "b"])
 
 
-def _apart(runs: np.ndarray, ids: np.ndarray, groups: np.ndarray, sketches: np.ndarray, wide: np.ndarray, sizes: np.ndarray, most: int | None) -> Iterator[pa.RecordBatch]:
-    """Pairs of one region that share their run, whose components differ and that may reach the threshold: of each class outside the
-    largest component the ``most`` most similar ones, or all."""
-    _, own, counts = np.unique(groups, return_inverse=True, return_counts=True)
-    _, run = np.unique(runs, axis=0, return_inverse=True)
-    asks = np.flatnonzero(own != counts.argmax())
-    words, more = np.ascontiguousarray(sketches).view(np.uint64), np.ascontiguousarray(wide).view(np.uint64)
-    step = max(1, CELLS // (8 * len(ids)))
-    for i in range(0, len(asks), step):
-        q = asks[i : i + step]
-        may = (own[q][:, None] != own[None]) & (run[q][:, None] == run[None]) & _fits(sizes[q][:, None], sizes[None])
-        may &= _may(_alike(words[q][:, None] ^ words[None]))
-        row, column = np.nonzero(may)
-        share, good = _may_be_linked(more[q[row]], more[column], sizes[q[row]], sizes[column])
-        row, column, share = row[good], column[good], share[good]
-        cut = np.zeros(0, np.int64)
-        if most and len(row):
-            order = np.lexsort((ids[column], -share, row))
-            row, column = row[order], column[order]
-            n = np.bincount(row, minlength=len(q))
-            place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            row, column, cut = row[place < most], column[place < most], ids[q[n > most]]
-        yield _proposed(ids[q[row]], ids[column], cut)
+@dataclass
+class _Region:
+    """Rows of a region, or some of them: run, id, component, sketch, wide sketch, size, the first value in each tree, the block in
+    each tree whose run is cut into blocks (else -1), and whether the row is of the next block."""
+
+    runs: np.ndarray
+    ids: np.ndarray
+    groups: np.ndarray
+    sketches: np.ndarray
+    wide: np.ndarray
+    sizes: np.ndarray
+    firsts: np.ndarray
+    blocks: np.ndarray
+    following: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, s: int, e: int) -> _Region:
+        part = batch.slice(s, e - s)
+        fixed = lambda k, width: _fixed(part.column(k), width).copy()
+        plain = lambda k: part.column(k).to_numpy(zero_copy_only=False).copy()
+        return cls(fixed(1, 5), plain(2), plain(3), fixed(4, _HASHES // 4), fixed(5, BINS // 4), plain(6), fixed(7, 4 * TREES).view(np.uint32), part.column(8).flatten().to_numpy().reshape(-1, TREES).copy(), plain(9))
+
+    @classmethod
+    def joined(cls, parts: list[_Region]) -> _Region:
+        return cls(*(np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(cls)))
+
+    def met_before(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether pairs are also compared in an earlier tree: they share its first value, and its run is whole or has them in the
+        same or adjacent blocks."""
+        apart = np.abs(self.blocks[x] - self.blocks[y])
+        earlier = np.arange(TREES) < self.runs[x][:, :1]
+        return ((self.firsts[x] == self.firsts[y]) & (apart <= 1) & earlier).any(1)
+
+    def apart(self, most: int | None) -> Iterator[pa.RecordBatch]:
+        """Pairs that share their run, whose components differ and that may reach the threshold, each in the first tree that has it:
+        of each class outside the largest component the ``most`` most similar ones, or all."""
+        _, own, counts = np.unique(self.groups, return_inverse=True, return_counts=True)
+        _, run = np.unique(self.runs, axis=0, return_inverse=True)
+        ids, sizes, late = self.ids, self.sizes, self.following
+        largest = own == counts.argmax()
+        words, more = np.ascontiguousarray(self.sketches).view(np.uint64), np.ascontiguousarray(self.wide).view(np.uint64)
+        step = max(1, CELLS // (8 * len(ids)))
+        asks = np.flatnonzero(~largest)
+        for i in range(0, len(asks), step):
+            q = asks[i : i + step]
+            may = (own[q][:, None] != own[None]) & (run[q][:, None] == run[None]) & _fits(sizes[q][:, None], sizes[None]) & ~(late[q][:, None] & late[None])
+            may &= _may(_alike(words[q][:, None] ^ words[None]))
+            row, column = np.nonzero(may)
+            # a pair of two that ask comes from the first of them
+            once = largest[column] | (q[row] < column) if most is None else np.ones(len(row), bool)
+            row, column = row[once], column[once]
+            share, good = _may_be_linked(more[q[row]], more[column], sizes[q[row]], sizes[column])
+            good[good] = ~self.met_before(q[row[good]], column[good])
+            row, column, share = row[good], column[good], share[good]
+            cut = np.zeros(0, np.int64)
+            if most and len(row):
+                order = np.lexsort((ids[column], -share, row))
+                row, column = row[order], column[order]
+                n = np.bincount(row, minlength=len(q))
+                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                row, column, cut = row[place < most], column[place < most], ids[q[n > most]]
+            yield _proposed(ids[q[row]], ids[column], cut)
 
 
 def _crowd(most: int | None):
-    """The pairs of ``_apart`` of each region of sorted ``region, run, id, component, sketch, wide, size`` rows."""
+    """The pairs of ``_Region.apart`` of each region of rows sorted by it."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[_Region] = []
         key = None
-
-        def pairs() -> Iterator[pa.RecordBatch]:
-            if held:
-                yield from _apart(*(np.concatenate(x) for x in zip(*held, strict=True)), most)
-
         for batch in found:
-            regions, rest = batch.column(0).to_numpy(), [_fixed(batch.column(1), 5), batch.column(2).to_numpy(), batch.column(3).to_numpy(), _fixed(batch.column(4), _HASHES // 4), _fixed(batch.column(5), BINS // 4), batch.column(6).to_numpy()]
+            regions = batch.column(0).to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1]])[: len(regions)])
             for s, e in zip(starts, np.append(starts[1:], len(regions)), strict=True):
                 if regions[s] != key:
-                    yield from pairs()
+                    if held:
+                        yield from _Region.joined(held).apart(most)
                     key, held = regions[s], []
-                held.append(tuple(c[s:e].copy() for c in rest))
-        yield from pairs()
+                held.append(_Region.of(batch, s, e))
+        if held:
+            yield from _Region.joined(held).apart(most)
 
     return run
 
@@ -466,18 +503,25 @@ def linked(docs: DataFrame, pairs: DataFrame, more: DataFrame) -> tuple[DataFram
     return found, links, paths
 
 
-def regions(crowded: DataFrame, wide: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """``region, run, id, sketch, size, wide`` of the crowded runs: a run of at most REGION rows is one; longer ones are cut in their sorted
-    order, each REGION rows together with the next ones. And the rows of the longer runs, or none."""
+def regions(crowded: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``region, run, id, sketch, size, following, blocks`` of the crowded runs with the columns of ``classes``: a run of at most REGION
+    rows is a region; longer ones are cut in their sorted order, each REGION rows together with the next ones. And the rows of the
+    longer runs, or none."""
     rest = ["run", "id", "sketch", "size"]
-    wide = wide.join(crowded.select("id").distinct(), "id", "left_semi")
+    classes = classes.join(crowded.select("id").distinct(), "id", "left_semi")
+    whole = lambda df: df.select(F.xxhash64("run").alias("region"), *rest, F.lit(False).alias("following"))
+    none = F.array_repeat(F.lit(-1).cast("long"), TREES)
     long, _ = written(crowded.groupBy("run").count().filter(F.col("count") > REGION).select("run"), "long")
     if long.isEmpty():
-        return crowded.select(F.xxhash64("run").alias("region"), *rest).join(wide, "id"), None
+        return whole(crowded).join(classes.withColumn("blocks", none), "id"), None
     big, _ = written(crowded.join(long, "run", "left_semi"), "big")
-    block = F.floor(F.col("place") / REGION)
-    cut = global_positions(big, ["tree_key", "id"], "place").select(F.explode(F.array(block, block - 1)).alias("region"), *rest)
-    return crowded.join(long, "run", "left_anti").select(F.xxhash64("run").alias("region"), *rest).union(cut).join(wide, "id"), big
+    cut = global_positions(big, ["tree_key", "id"], "place").withColumn("block", F.floor(F.col("place") / REGION))
+    tree = F.ascii(F.expr("decode(substring(run, 1, 1), 'ISO-8859-1')"))
+    blocks = cut.groupBy("id").agg(F.array(*[F.coalesce(F.max(F.when(tree == t, F.col("block"))), F.lit(-1)) for t in range(TREES)]).alias("blocks"))
+    both = F.explode(F.array(F.struct(F.col("block").alias("region"), F.lit(False).alias("following")), F.struct((F.col("block") - 1).alias("region"), F.lit(True).alias("following"))))
+    dealt = cut.select(both.alias("r"), *rest).select("r.region", *rest, "r.following")
+    out = whole(crowded.join(long, "run", "left_anti")).union(dealt)
+    return out.join(classes.join(blocks, "id", "left").withColumn("blocks", F.coalesce("blocks", none)), "id"), big
 
 
 def hubs_of(big: DataFrame, links: DataFrame) -> DataFrame:
@@ -497,14 +541,14 @@ def _beside_hubs(big: DataFrame, hubs: DataFrame, found: DataFrame) -> DataFrame
     return own.join(groups, "run").select("id", "component", "sketch", "size", "hubs").mapInArrow(_against_hubs, "a long, b long")
 
 
-def joined_crowds(docs: DataFrame, crowded: DataFrame, wide: DataFrame, pairs: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:
+def joined_crowds(docs: DataFrame, crowded: DataFrame, classes: DataFrame, pairs: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:
     """``id, component`` after the links within the crowded runs. ``pairs``: those that have been judged already."""
     spark = docs.sparkSession
-    dealt, big = regions(crowded, wide)
+    dealt, big = regions(crowded, classes)
     dealt, _ = written(dealt, "regions")
     judged = pairs.select("a", "b")
     for most in ASKED:
-        known = dealt.join(found, "id", "left").select("region", "run", "id", F.coalesce("component", "id").alias("component"), "sketch", "wide", "size")
+        known = dealt.join(found, "id", "left").select("region", "run", "id", F.coalesce("component", "id").alias("component"), "sketch", "wide", "size", "firsts", "blocks", "following")
         asked = known.repartition("region").sortWithinPartitions("region", "run", "id").mapInArrow(_crowd(most), "a long, b long")
         if big is not None and most is not None:
             asked = asked.union(_beside_hubs(big, hubs_of(big, links), found))
@@ -585,11 +629,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             F.expr(f"substring(mins, {1 + TREES * width}, {_HASHES // 4})").alias("sketch"),
             F.col("n_shingles").alias("size"),
         )
+        firsts = chosen.select("id", "wide", F.concat(*[F.expr(f"substring(mins, {1 + width * t}, 4)") for t in range(TREES)]).alias("firsts"))
         trees, tree_path = written(trees, "trees")
         pairs, _, crowded, _ = candidate_pairs(trees)
         remove(spark, tree_path)
         found, links, _ = linked(docs, pairs, shared_ids(full, classes))
-        found = joined_crowds(docs, crowded, chosen.select("id", "wide"), pairs, found, links)
+        found = joined_crowds(docs, crowded, firsts, pairs, found, links)
         named = classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
         out = scanned.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
         component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
