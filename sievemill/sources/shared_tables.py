@@ -46,12 +46,60 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system the path names."""
+    system, p = _file(spark, path)
+    return system.exists(p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    system, p = _file(spark, path)
+    stream = system.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place, then put it there: a reader sees the old text or the new one. Between the two steps the
+    new file alone may stand, which ``read_saved`` knows."""
+    system, p = _file(spark, path)
+    new = _file(spark, f"{path}.new")[1]
+    stream = system.create(new, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    system.delete(p, False)
+    if not system.rename(new, p):
+        raise OSError(f"cannot write {path}")
+
+
+def read_saved(spark: SparkSession, path: str) -> str | None:
+    """The text that ``write_text`` left, also where it was stopped before its last step; null if there is none."""
+    for place in (path, f"{path}.new"):
+        if exists(spark, place):
+            return read_text(spark, place)
+    return None
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, p = _file(spark, path)
+    system.mkdirs(p)
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete written tables that no later plan reads."""
-    jvm = spark.sparkContext._jvm
     for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        system, p = _file(spark, path)
+        system.delete(p, True)
         for made in _SCOPES:
             if path in made:
                 made.remove(path)
