@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from sievemill.sources.shared_tables import new_path, only, remove, shared_dir, written
+from sievemill.sources.shared_tables import exists, new_path, only, remove, shared_dir, written
 
-__all__ = ["groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "written"]
+__all__ = ["exists", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "written"]
 
 
 def text_views(column: pa.Array | pa.ChunkedArray) -> tuple[memoryview, np.ndarray]:

@@ -127,3 +127,56 @@ def test_query(spark, sf):
     got = {(r.doc_id, r.item_id) for r in D.op6_spaced_seeds(spark, sf).collect()}
     exact = {(i, j) for i, t in docs.items() for j, b in bench.items() if b in t}
     assert exact <= got
+
+
+def stretches(texts, bench):
+    """Whether some stretch on some diagonal is long enough, over all diagonals at once."""
+    found = set()
+    tok = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    words = {}
+    number = lambda t: np.array([words.setdefault(w, len(words)) for w in tok(t)], np.int64)
+    bench = [(j, number(t)) for j, t in bench]
+    for i, t in texts:
+        a = number(t)
+        for j, b in bench:
+            if not len(a) or not len(b):
+                continue
+            least, n = min(D.LEAST, len(b)), len(b)
+            at = np.arange(-n + 1, len(a))[:, None] + np.arange(n)
+            inside = (at >= 0) & (at < len(a))
+            same = (a[np.where(inside, at, 0)] == b) & inside
+            score = np.where(same, 1, np.where(inside, -4, -10_000))
+            run = np.concatenate([np.zeros((len(at), 1), int), np.cumsum(score, 1)], 1)
+            if (run[:, least:] >= np.minimum.accumulate(run, 1)[:, : n + 1 - least]).any():
+                found.add((i, j))
+    return found
+
+
+def test_query_is_all_diagonals(spark, sf):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if len(r.text) < 20_000]
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    short = {i for i, _ in docs}
+    got = {(r.doc_id, r.item_id) for r in D.op6_spaced_seeds(spark, sf).collect() if r.doc_id in short}
+    assert got == stretches(docs, bench) and got
+
+
+def test_repeated_words_stay_within_bounds():
+    import time
+    import tracemalloc
+
+    items = [(k, D.tokens(["alpha " * 40 if k % 2 else "alpha beta " * 20])[0]) for k in range(20)]
+    texts = ["alpha " * 20_000, "alpha beta " * 10_000, "alpha beta gamma " * 5_000, "beta " * 12 + "alpha " * 3]
+    block = D.Block(items)
+    tracemalloc.start()
+    began = time.time()
+    got = block.overlaps(texts)
+    took, (_, peak) = time.time() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert took < 20 and peak < 600 << 20, (took, peak)
+    by = {(t, i): rest for t, i, *rest in got}
+    assert all(by[0, k] == [0, 40, 40] for k in range(1, 20, 2)) and all(by[1, k] == [0, 40, 40] for k in range(0, 20, 2))
+    small = [(t, " ".join(x.split()[:150])) for t, x in enumerate(texts)]
+    bench = [(k, "alpha " * 40 if k % 2 else "alpha beta " * 20) for k in range(4)]
+    some = D.Block([(k, D.tokens([x])[0]) for k, x in bench])
+    short = {(t, i): n for t, i, _, n, _ in some.overlaps([x for _, x in small])}
+    assert short == longest(small, bench)
