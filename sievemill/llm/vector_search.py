@@ -3,11 +3,12 @@
 Vectors become integers floor(scale * x). The distances of every vector to PIVOTS pivots are computed once. For a query q and a
 vector x each pivot p gives |d(q, p) - d(x, p)| <= d(q, x); the largest of these lower bounds turns into an upper bound of the inner
 product, (|q|^2 + |x|^2 - bound^2) / 2. In a partition the candidates of a query are evaluated in the order of their bounds, in
-growing steps, until the next bound is below the k-th best score found: the rest cannot enter, ties included. The best k of
-each partition are merged.
+growing steps, until the next bound is below the k-th best score found: the rest cannot enter, ties included. The k-th best
+score is carried from batch to batch, and the best k of each partition are merged.
 
-Queries are a stated set against all rows: they come in blocks of at most BLOCK queries, each block broadcast to one pass over
-the vectors. The pivots are picked from at most SAMPLE vectors; they only steer the order, the result is exact.
+Queries are a stated set against all rows: they are written once and numbered; a block of at most BLOCK of them at a time is sent
+to one pass over the vectors, whose result is written before the next block is read, so neither the driver nor a plan ever holds
+more than a block. The pivots are picked from at most SAMPLE vectors; they only steer the order, the result is exact.
 
 Defined results: vectors that are null, or hold a null, a NaN or an infinity, take no part; a null id takes no part; vectors meet
 only those of the same length; rows that repeat an id are each a candidate, except for the query of that id, and such a query
@@ -18,6 +19,7 @@ enough for inner products to stay below 2^53.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sievemill.operators.chunk import global_positions
+
+from .shared import new_path, only
+
 SCALE = 256
 K = 5
 PIVOTS = 32
 SAMPLE = 2000
-BLOCK = 2048
-ROWS = 4096
+BLOCK = 8192
+#: Vectors and queries that meet at once.
+ROWS, ASKED = 4096, 1024
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str, scale: int = SCALE) -> DataFrame:
@@ -63,92 +70,96 @@ def _matrix(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(rows := np.flatnonzero(lengths == n), flat[(first[rows][:, None] + np.arange(n)).astype(np.int64)]) for n in np.unique(lengths)]
 
 
-def search(query_ids, q, q_table, ids, x, table, k) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Each query's best k among the vectors: query, id, score; and how many products were evaluated."""
+@dataclass
+class Best:
+    """The best k of each query so far, by falling score, then rising id; places that are not filled yet have a score of -inf."""
+
+    ids: np.ndarray
+    scores: np.ndarray
+
+    @classmethod
+    def none(cls, n: int, k: int) -> Best:
+        return cls(np.full((n, k), -1, np.int64), np.full((n, k), -np.inf))
+
+    def add(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate([self.ids[i], ids]), np.concatenate([self.scores[i], scores])
+        order = np.lexsort((ids, -scores))[: self.ids.shape[1]]
+        self.ids[i], self.scores[i] = ids[order], scores[order]
+
+
+def search(best: Best, at: int, query_ids, q, q_table, ids, x, table) -> int:
+    """Let the vectors enter the best of the queries, which stand from ``at`` on; how many products were evaluated."""
     qq, xx = (q**2).sum(1), (x**2).sum(1)
     low = np.zeros((len(q), len(x)), np.float32)
+    own, theirs = q_table.astype(np.float32), table.astype(np.float32)
     for p in range(table.shape[1]):
-        np.maximum(low, np.abs(q_table[:, p, None].astype(np.float32) - table[None, :, p].astype(np.float32)), out=low)
+        np.maximum(low, np.abs(own[:, p, None] - theirs[None, :, p]), out=low)
     # rounding of the bounds must not hide a candidate
     low = np.maximum(low.astype(np.float64) - 1e-2 - 1e-6 * (np.sqrt(qq)[:, None] + np.sqrt(xx)[None]), 0)
     upper = (qq[:, None] + xx[None] - low * low) / 2 + 0.5
-    out, evaluated = [], 0
+    evaluated = 0
     for i in range(len(q)):
-        bound = upper[i]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        open_ = np.ones(len(x), bool)
-        open_[ids == query_ids[i]] = False
-        step = 64
-        while True:
-            left = np.flatnonzero(open_ & (bound >= best[k - 1])) if len(best) >= k else np.flatnonzero(open_)
-            if not len(left):
-                break
+        bound, step = upper[i], 64
+        left = np.flatnonzero((bound >= best.scores[at + i, -1]) & (ids != query_ids[i]))
+        while len(left):
             now = left if len(left) <= step else left[np.argpartition(-bound[left], step)[:step]]
-            open_[now] = False
+            best.add(at + i, ids[now], x[now] @ q[i])
             evaluated += len(now)
-            best, best_ids = np.concatenate([best, x[now] @ q[i]]), np.concatenate([best_ids, ids[now]])
-            order = np.lexsort((best_ids, -best))[:k]
-            best, best_ids = best[order], best_ids[order]
+            left = np.setdiff1d(left, now, assume_unique=True)
+            left = left[bound[left] >= best.scores[at + i, -1]]
             step *= 2
-        out.append((np.full(len(best), query_ids[i]), best_ids, best))
-    return *(np.concatenate(c) for c in zip(*out, strict=True)), evaluated
+    return evaluated
 
 
 def _search(queries: list[tuple[np.ndarray, np.ndarray]], pivots: dict[int, np.ndarray], k: int):
     tables = {q.shape[1]: (ids, q, distances(q, pivots[q.shape[1]])) for ids, q in queries if q.shape[1] in pivots}
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple] = []
+        kept = {n: Best.none(len(ids), k) for n, (ids, _, _) in tables.items()}
         for batch in found:
             all_ids = batch.column(0).to_numpy()
             for rows, x in _matrix(batch.column(1)):
-                if x.shape[1] not in tables:
+                n = x.shape[1]
+                if n not in tables:
                     continue
-                query_ids, q, q_table = tables[x.shape[1]]
+                query_ids, q, q_table = tables[n]
                 for a in range(0, len(x), ROWS):
                     part, ids = x[a : a + ROWS], all_ids[rows[a : a + ROWS]]
-                    kept.append(search(query_ids, q, q_table, ids, part, distances(part, pivots[x.shape[1]]), k)[:3])
-                kept = [_best(kept, k)]
-        for qid, vid, s in kept:
-            yield pa.RecordBatch.from_arrays([pa.array(qid.astype(np.int64)), pa.array(vid.astype(np.int64)), pa.array(s.astype(np.int64))], names=["query_id", "vec_id", "score"])
+                    table = distances(part, pivots[n])
+                    for b in range(0, len(q), ASKED):
+                        own = slice(b, b + ASKED)
+                        search(kept[n], b, query_ids[own], q[own], q_table[own], ids, part, table)
+        for n, best in kept.items():
+            at, place = np.nonzero(best.scores > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(tables[n][0][at]), pa.array(best.ids[at, place]), pa.array(best.scores[at, place].astype(np.int64))], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def _best(kept: list[tuple], k: int) -> tuple:
-    qid, vid, s = (np.concatenate(c) for c in zip(*kept, strict=True))
-    order = np.lexsort((vid, -s, qid))
-    qid, vid, s = qid[order], vid[order], s[order]
-    heads = np.flatnonzero(np.concatenate([[True], qid[1:] != qid[:-1]])) if len(qid) else np.zeros(0, np.int64)
-    rank = np.arange(len(qid)) - np.repeat(heads, np.diff(np.append(heads, len(qid))))
-    return qid[rank < k], vid[rank < k], s[rank < k]
-
-
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each row of ``queries`` among ``vectors``, both ``vec_id, x`` as of ``usable``."""
     spark = vectors.sparkSession
-    sample = vectors.select("x").limit(SAMPLE).toArrow().column(0).combine_chunks()
-    pivots = {x.shape[1]: pick_pivots(x) for _, x in _matrix(sample)} if len(sample) else {}
-    schema = "query_id long, vec_id long, score long"
-    found = spark.createDataFrame([], schema)
-    waiting: list[tuple[int, list[float]]] = []
-
-    def block() -> DataFrame:
-        sizes = sorted({len(x) for _, x in waiting})
-        groups = [[(i, x) for i, x in waiting if len(x) == n] for n in sizes]
-        own = [(np.array([i for i, _ in g]), np.array([x for _, x in g], float).reshape(len(g), n)) for g, n in zip(groups, sizes, strict=True)]
-        for _, q in own:
-            pivots.setdefault(q.shape[1], q[:1])
-        return vectors.mapInArrow(_search(own, pivots, k), schema)
-
-    for row in queries.groupBy("vec_id").agg(F.min("x").alias("x")).toLocalIterator():
-        waiting.append((row.vec_id, row.x))
-        if len(waiting) == BLOCK:
-            found, waiting = found.union(block()), []
-    if waiting:
-        found = found.union(block())
-    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    with only(spark) as keep:
+        sample = vectors.select("x").limit(SAMPLE).toArrow().column(0).combine_chunks()
+        pivots = {x.shape[1]: pick_pivots(x) for _, x in _matrix(sample)} if len(sample) else {}
+        asked = global_positions(queries.groupBy("vec_id").agg(F.min("x").alias("x")), ["vec_id"], "place")
+        n_blocks = -(-asked.count() // BLOCK)
+
+        def ranked(block: int) -> DataFrame:
+            some = asked.filter((F.col("place") > block * BLOCK) & (F.col("place") <= (block + 1) * BLOCK)).select("vec_id", "x").toArrow().combine_chunks()  # a block of queries
+            ids, x = (some.column(c).combine_chunks() for c in (0, 1))
+            own = [(ids.to_numpy()[rows], q) for rows, q in _matrix(x)]
+            known = {**{q.shape[1]: q[:1] for _, q in own}, **pivots}
+            found = vectors.mapInArrow(_search(own, known, k), "query_id long, vec_id long, score long")
+            order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            return found.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+        if n_blocks <= 1:
+            return ranked(0) if n_blocks else spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        path = new_path(spark, "found")
+        for block in range(n_blocks):
+            ranked(block).write.mode("append").parquet(path)
+        return keep(spark.read.parquet(path), path)
 
 
 def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

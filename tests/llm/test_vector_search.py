@@ -52,5 +52,42 @@ def test_the_search_stops_early():
     q = x[:5]
     pivots = V.pick_pivots(x[:500])
     ids = np.arange(len(x))
-    *_, evaluated = V.search(ids[:5], q, V.distances(q, pivots), ids, x, V.distances(x, pivots), 5)
+    best = V.Best.none(5, 5)
+    evaluated = V.search(best, 0, ids[:5], q, V.distances(q, pivots), ids, x, V.distances(x, pivots))
     assert evaluated < 0.5 * 5 * len(x)
+    # what is known from earlier vectors stops later ones sooner
+    assert V.search(best, 0, ids[:5], q, V.distances(q, pivots), ids + len(x), x, V.distances(x, pivots)) < evaluated
+
+
+def test_small_parts_do_not_matter(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 0.3, 8 + i % 2).tolist()) for i in range(300)] + [(299, [0.1] * 8), (7, [0.2] * 8)]
+    monkeypatch.setattr(V, "ASKED", 4)
+    monkeypatch.setattr(V, "ROWS", 7)
+    assert run(spark, rows[:300], 10) == brute(rows[:300], every=10)
+    assert len(run(spark, rows, 10)) == len(brute(rows, every=10))
+
+
+def test_the_plan_holds_no_queries(spark, monkeypatch):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(100)]
+    monkeypatch.setattr(V, "BLOCK", 2)
+    v = V.usable(frame(spark, rows), "vec_id", "embedding")
+    plan = V.top_k(v.filter("vec_id % 10 = 0"), v)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Union" not in plan and "Scan parquet" in plan
+
+
+def test_exact_over_five_thousand_vectors(spark):
+    from pathlib import Path
+
+    import duckdb
+    import pytest
+
+    sf = Path("/root/testdata/sf0.1")
+    if not sf.exists():
+        pytest.skip("test tables are not here")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet/*.parquet'" if (sf / "embeddings.parquet").is_dir() else f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
+    found = con.execute(V.OP4_SQL)
+    names = [d[0] for d in found.description]
+    want = sorted(tuple(r[names.index(c)] for c in ("query_id", "rank", "vec_id", "score")) for r in found.fetchall())
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in V.op4_pivot_top_k(spark, str(sf)).collect()) == want
