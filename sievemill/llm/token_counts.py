@@ -6,15 +6,17 @@ initial symbols less the number of merges: no identifier is looked up. Each dist
 Python worker; numpy adds the counts of a text.
 
 Defined results: a null text counts as empty (0 tokens); null ``doc_id`` stays null; every row is counted for itself, so
-repeated rows repeat; other columns are not read; an empty table gives no rows. Texts that hold the string of an added token,
-or a code point that this Python's Unicode tables leave unassigned, are counted by the tokenizer library. A very long text is
-counted in segments, cut only where a pre-token ends anyway.
+repeated rows repeat; other columns are not read; an empty table gives no rows. The string of an added token counts as one, and
+what stands between such strings is counted for itself. Where a text holds a code point that this Python's Unicode tables leave
+unassigned, the tokenizer library normalizes it and cuts it into pre-tokens by its own tables; these are merged here like all
+others. A very long text is counted in segments, cut only where a pre-token ends anyway.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -80,19 +82,24 @@ class Counter:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.ranks = {tuple(m): i for i, m in enumerate(pairs)}
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.cuts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         self.symbols = byte_symbols()
         self.known: dict[int, int] = {}
         self._library = None
 
-    def library_count(self, text: str) -> int:
+    def foreign(self, text: str) -> int:
+        """The count of a text whose pre-tokens the library finds, by its newer Unicode tables; no identifier is asked for."""
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_file(self.path)
-        return len(self._library.encode(text, add_special_tokens=False).ids)
+        found = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+        return sum(self._merged(list(piece)) for piece, _ in found)
 
     def word(self, piece: str) -> int:
-        symbols = [self.symbols[b] for b in piece.encode()]
+        return self._merged([self.symbols[b] for b in piece.encode()])
+
+    def _merged(self, symbols: list[str]) -> int:
         symbols[-1] += self.suffix
         return merged_length(symbols, self.ranks)
 
@@ -119,14 +126,18 @@ class Counter:
 
     def count(self, texts: list[str]) -> np.ndarray:
         """The number of tokens of each text."""
-        raw = "".join(texts)
+        if any(self.cuts.search(t) for t in texts):
+            parts = [self.cuts.split(t) for t in texts]
+            sizes = np.array([len(p) for p in parts])
+            counts = self.count([p for own in parts for p in own])
+            return np.add.reduceat(counts, np.cumsum(sizes) - sizes) + sizes - 1
         plain = [self.normalized(t) for t in texts]
         joined = "".join(plain)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        if any(s in raw for s in self.special) or len(codes) and pieces.classes()[codes].max() == pieces.UNKNOWN:
+        if len(codes) and pieces.classes()[codes].max() == pieces.UNKNOWN:
             if len(texts) > 1:
                 return np.concatenate([self.count(texts[: len(texts) // 2]), self.count(texts[len(texts) // 2 :])])
-            return np.array([self.library_count(texts[0])])
+            return np.array([self.foreign(texts[0])])
         if len(codes) <= 2 * SEGMENT:
             return self._segment(joined, codes, np.cumsum([0, *map(len, plain)])[:-1])
         bounds = [0, *pieces.safe_cuts(codes, SEGMENT), len(codes)]

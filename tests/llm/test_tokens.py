@@ -30,6 +30,30 @@ def test_ids_and_counts_are_the_library_s(libraries, texts):
     assert counter.count(texts).tolist() == [len(e.ids) for e in word.encode_batch(texts, add_special_tokens=False)]
 
 
+SPECIAL = st.lists(st.one_of(ODD, st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "\u0378", "\U0003134f", " "])), max_size=6).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(SPECIAL, min_size=1, max_size=4))
+def test_strings_of_added_tokens_and_unassigned_code_points(libraries, texts):
+    _, word, _, counter = libraries
+    assert counter.count(texts).tolist() == [len(e.ids) for e in word.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_no_identifier_is_asked_for(libraries, monkeypatch):
+    counter = token_counts.Counter(WORD)
+    want = len(libraries[1].encode("a<|endoftext|>\u0378 b", add_special_tokens=False).ids)
+    from tokenizers import Tokenizer
+
+    class Without:
+        def __init__(self, path):
+            own = Tokenizer.from_file(path)
+            self.normalizer, self.pre_tokenizer = own.normalizer, own.pre_tokenizer
+
+    counter._library = Without(WORD)
+    assert counter.count(["a<|endoftext|>\u0378 b"]).tolist() == [want]
+
+
 def test_long_texts_in_segments(libraries, monkeypatch):
     byte, word, encoder, counter = libraries
     monkeypatch.setattr(packing, "SEGMENT", 5000)
@@ -82,8 +106,10 @@ def test_packing_query(spark, sf, libraries):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = packing.op1_pack_power_of_two(spark, sf).collect()
     assert {r.doc_id for r in rows} == set(docs)
-    for r in rows[::7]:
-        ids = np.array([*byte.encode(docs[r.doc_id], add_special_tokens=False).ids, 1], "<u4")
+    known = {i: np.array([*byte.encode(t, add_special_tokens=False).ids, 1], "<u4") for i, t in docs.items()}
+    assert sum(r.length for r in rows) == sum(map(len, known.values()))
+    for r in rows:
+        ids = known[r.doc_id]
         assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
 
 
