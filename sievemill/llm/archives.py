@@ -5,8 +5,11 @@ A package is a ZIP file with two stored members: ``archive/data.warc.gz``, recor
 directory and the central directory itself, finds the stored members, reads the index by range and then each record by range:
 nothing is extracted.
 
-Writing goes partition by partition to the shared folder. Every attempt writes a file of its own name and the rows returned
-name the files, so files of lost or repeated attempts are never read. Packages roll over at ``ROLL`` bytes.
+Writing goes partition by partition to a shared folder. The driver completes its path by the cluster's own file system before
+executors see it, so a path without a scheme is no executor's local disk; executors reach the folder by pyarrow's file systems
+(local or mounted, HDFS, S3, Google, Azure), and any other scheme is an error before the first record. Every attempt writes a file
+of its own name and the rows returned name the files, so files of lost or repeated attempts are never read. Packages roll over at
+``ROLL`` bytes.
 
 Of records with equal payloads the one with the largest page id is the response, the others are revisits of it. Digests are
 computed first and aggregated to the groups of more than one page; only those meet the pages, by a join whose large side adaptive
@@ -32,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_path, written
+from .shared import new_path, only, written
 
 LEAST_REVISIT = 0
 ROLL = 1 << 30
@@ -46,9 +49,25 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FULL32, FULL16 = 0xFFFFFFFF, 0xFFFF
 
 
-def filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and plain path of a URI or a local path."""
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+# Other names that Hadoop has for file systems.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with scheme, by the cluster's default file system where it has none; one that executors can't open is an
+    error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    scheme, rest = uri.split(":", 1)
+    uri = f"{SCHEMES.get(scheme, scheme)}:{rest}"
+    uri = uri if scheme != "file" else f"file:///{rest.lstrip('/')}"
+    filesystem(uri)
+    return uri
+
+
+def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and plain path of a URI."""
+    return fs.FileSystem.from_uri(uri)
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -250,15 +269,15 @@ def _write(folder: str):
 
 
 def write_packages(pages: DataFrame, least_revisit: int = LEAST_REVISIT) -> tuple[DataFrame, str]:
-    """Write a record per page; ``path, n_records`` of the packages, and their folder. A missing folder prefix in ``path`` is
-    that of the folder's own file system."""
+    """Write a record per page; ``path, n_records`` of the packages, and the URI of their folder. ``path`` is as the file system of
+    that URI has it."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = rows.withColumn("payload_key", F.when(F.octet_length("html") >= least_revisit, F.sha1("html")))
     groups = keyed.filter("payload_key is not null and page_id is not null").groupBy("payload_key").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
     shared, _ = written(groups.filter("n > 1").select("payload_key", "response"), "payloads")
     refers_to = F.when(F.col("page_id") != F.col("response"), F.col("response"))
     ready = keyed.join(shared, "payload_key", "left").select("page_id", "url", "html", refers_to.alias("refers_to"))
-    folder = new_path(pages.sparkSession, "packages")
+    folder = qualified(pages.sparkSession, new_path(pages.sparkSession, "packages"))
     manifest, _ = written(ready.mapInArrow(_write(folder), "path string, n_records long"), "manifest")
     return manifest, folder
 
@@ -313,5 +332,18 @@ def read_packages(manifest: DataFrame, folder: str) -> DataFrame:
 
 def op9_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to packages and read back."""
-    manifest, folder = write_packages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    return read_packages(manifest, folder).drop("url")
+    with only(spark) as keep:
+        manifest, folder = write_packages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+        return keep(*written(read_packages(manifest, folder).drop("url"), "records"))
+
+
+# base32 of 160 bits: four characters for each five hexadecimal digits
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    (CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NULL OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""

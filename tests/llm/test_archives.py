@@ -88,7 +88,7 @@ def test_packages_roll_over(spark, monkeypatch):
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in ROWS[9:60]]), pa.array(["u"] * 51), pa.array(["h"] * 51), pa.nulls(51, pa.int64())], names=["a", "b", "c", "d"])
-    made = list(A._write(A.new_path(spark, "rolled"))(iter([batch])))
+    made = list(A._write(A.qualified(spark, A.new_path(spark, "rolled")))(iter([batch])))
     assert len(made) > 2 and sum(b.column(1)[0].as_py() for b in made) == 51
 
 
@@ -100,3 +100,9 @@ def test_query(spark, sf):
 
 def test_empty(spark):
     assert A.read_packages(*A.write_packages(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_paths_are_those_of_the_cluster(spark, tmp_path):
+    assert A.qualified(spark, str(tmp_path)) == f"file://{tmp_path}" == A.qualified(spark, f"file:{tmp_path}") == A.qualified(spark, f"file://{tmp_path}")
+    with pytest.raises(Exception):  # noqa: B017
+        A.qualified(spark, "viewfs://nowhere/x")
