@@ -174,6 +174,38 @@ def scan(documents: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     )
 
 
+def oracle_sql(containment: float = CONTAINMENT) -> str:
+    """DuckDB SQL for the rows of ``scan`` over ``documents``: every block against every template."""
+    templates = ",\n  ".join(f"({k}, '{label}', {sorted(set(t.split(' ')))})" for k, (label, t) in enumerate(TEMPLATES))
+    phrases = ",\n  ".join(f"('{label}', {p.split(' ')})" for p, label in PHRASES.items())
+    words = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH t(k, label, own) AS (VALUES {templates}),
+n AS (SELECT *, len(own) AS size, ceil({containment} * len(own) - 1e-9) AS need FROM t),
+vocabulary AS (SELECT list_distinct(flatten(list(own))) AS v FROM t),
+p(label, own) AS (VALUES {phrases}),
+low AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+d AS (SELECT rid, doc_id, low, {words.format('low')} AS w FROM low),
+base AS (SELECT rid, label, i - 1 AS pos FROM (SELECT rid, w, label, own, unnest(found.i) AS i FROM (
+    SELECT d.rid, d.w, p.label, p.own, {{'i': list_filter(range(1, len(w) + 1), lambda i: w[i] = own[1] AND w[i:i + len(own) - 1] = own)}} AS found
+    FROM d, p WHERE list_has_all(d.w, p.own)) x) y),
+b AS (SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_sort(list_distinct(list(label))) AS base_list FROM base GROUP BY rid),
+blocks AS (
+  SELECT rid, 'line' AS kind, i AS place, list_distinct(list_intersect({words.format('line')}, v)) AS own
+  FROM (SELECT rid, unnest(string_split(low, chr(10))) AS line, unnest(range(len(string_split(low, chr(10))))) AS i FROM d) x, vocabulary
+  UNION ALL SELECT rid, 'window', i, list_distinct(list_intersect(w[i:i + {2 * STEP} - 1], v)) FROM (SELECT rid, w, unnest(range(1, len(w) + 1, {STEP})) AS i FROM d) x, vocabulary
+),
+m AS (SELECT rid, kind, place, k, label, size, list_intersect(blocks.own, n.own) AS common FROM blocks JOIN n ON len(list_intersect(blocks.own, n.own)) >= need WHERE len(blocks.own) > 0),
+best AS (SELECT * FROM m x WHERE NOT EXISTS (SELECT 1 FROM m y WHERE y.rid = x.rid AND y.kind = x.kind AND y.place = x.place AND len(y.common) > len(x.common) AND list_has_all(y.common, x.common))),
+f AS (SELECT rid, list_distinct(list(label)) AS labels FROM best GROUP BY rid),
+s AS (SELECT rid, max(len(common) / size) AS share, count(DISTINCT place) FILTER (kind = 'line') AS n_lines, count(DISTINCT place) FILTER (kind = 'window') AS n_windows FROM m GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(array_to_string(base_list, ','), '') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(coalesce(base_list, []), coalesce(f.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score, CAST(CASE WHEN n_lines > 0 THEN n_lines ELSE coalesce(n_windows, 0) END AS INTEGER) AS n_blocks
+FROM d LEFT JOIN b USING (rid) LEFT JOIN f USING (rid) LEFT JOIN s USING (rid)
+"""
+
+
 def op10_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template matches of every document."""
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))

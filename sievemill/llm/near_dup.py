@@ -642,6 +642,20 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         return keep(*written(out, "judged"))
 
 
+#: All pairs that share a shingle, and what can be reached by those of them that are linked.
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS own FROM d),
+x AS (SELECT doc_id, len(own) AS n, unnest(own) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c WHERE 100 * k >= 75 * (n + m - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+g AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(own) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN g USING (doc_id)
+"""
+
+
 def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

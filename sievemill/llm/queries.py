@@ -18,4 +18,10 @@ QUERIES = {
 }
 
 #: For the others SQL has no form; tests hold them against brute force, the tokenizer library or held-out labels.
-ORACLE_SQL = {"op4_pivot_top_k": vector_search.OP4_SQL, "op5_chat_snapshots": chat.OP5_SQL}
+ORACLE_SQL = {
+    "op3_minhash_forest": near_dup.OP3_SQL,
+    "op4_pivot_top_k": vector_search.OP4_SQL,
+    "op5_chat_snapshots": chat.OP5_SQL,
+    "op9_zip_warc": archives.OP9_SQL,
+    "op10_license_join": licenses.oracle_sql(),
+}
