@@ -3,12 +3,13 @@
 Chat logs often hold a conversation once after every exchange. A turn's fingerprint hashes its place, role and text; the
 running xor of the fingerprints, in two independent halves of 64 bits, is the rolling hash of each turn prefix. A conversation
 whose whole hash is a proper prefix of another one's is a snapshot and an anti-join drops it; of equal conversations the one
-with the smallest id stays. Only hashes are shuffled for that, and both sides are made distinct before they meet, so a first
-turn or a conversation that very many logs share costs one row. Texts are gathered and rendered for the conversations kept.
+with the smallest id stays. Turns are put in order once, with their texts, which alone part equal turns; after that only
+hashes are shuffled, and both sides are made distinct before they meet, so a first turn or a conversation that very many logs
+share costs one row. Texts are gathered and rendered for the conversations kept.
 
 Everything is a DataFrame expression. A conversation is rendered as one string, so its turns have to fit one row.
 
-Defined results: turns are ordered by ``turn`` (null first), then role, the first 64 characters and a hash of the text; rows that repeat stay turns of their own; a
+Defined results: turns are ordered by ``turn`` (null first), then role, then text by its bytes; rows that repeat stay turns of their own; a
 null role is ``user``, a null text empty; rows with a null ``conv_id`` belong to no conversation and are left out; an empty table
 gives no rows; other columns are not read. The markers' opening characters inside a text are written with a blank between.
 """
@@ -34,8 +35,8 @@ def _turns(conversations: DataFrame) -> DataFrame:
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """``conv_id, place, n_turns, h1, h2``: the rolling hash up to each turn."""
-    hashed = turns.select("conv_id", "turn", "role", F.xxhash64("role", "text").alias("a"), F.xxhash64(F.lit(1), "text", "role").alias("b"), F.substring("text", 1, 64).alias("head"))
-    order = W.partitionBy("conv_id").orderBy("turn", "role", "head", "a", "b")
+    hashed = turns.select("conv_id", "turn", "role", "text", F.xxhash64("role", "text").alias("a"), F.xxhash64(F.lit(1), "text", "role").alias("b"))
+    order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
     placed = hashed.withColumn("place", F.row_number().over(order))
     run = order.rowsBetween(W.unboundedPreceding, 0)
     return placed.select(
@@ -64,7 +65,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     characters of it are answers to learn from."""
     turns = _turns(conversations)
     kept = maximal_conversations(turns)
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.substring("text", 1, 64).alias("head"), F.xxhash64("role", "text").alias("a"), "text")))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
     gathered = turns.join(kept.select("conv_id"), "conv_id", "left_semi").groupBy("conv_id").agg(ordered.alias("turns"))
     rendered = F.concat_ws("", F.transform("turns", lambda t: F.concat(F.lit(OPEN), _plain(t.role), F.lit("\n"), _plain(t.text), F.lit(CLOSE + "\n"))))
     answers = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.when(t.role == "assistant", F.length(_plain(t.text))).otherwise(0))

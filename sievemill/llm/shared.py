@@ -9,7 +9,15 @@ import pyarrow as pa
 
 from sievemill.sources.shared_tables import exists, new_path, only, remove, shared_dir, written
 
-__all__ = ["exists", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "written"]
+__all__ = ["exists", "free_name", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "written"]
+
+
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with underscores behind it until no column has that name, case aside."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
 def text_views(column: pa.Array | pa.ChunkedArray) -> tuple[memoryview, np.ndarray]:

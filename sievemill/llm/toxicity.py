@@ -10,7 +10,7 @@ The labelled sample that the driver fits on is bounded by ``PER_CLASS`` and ``SA
 
 Defined results: a null or empty text, or one without letters or digits, has the score of the bias alone; null ``doc_id``
 counts as not held out; repeated rows are scored each for itself; labels that are null, repeated for one id (the highest
-counts) or without a document are harmless; without labels of both classes every score is the share of toxic labels (0 if
+counts) or without a document are harmless; of an id's several texts the smallest is learned from; without labels of both classes every score is the share of toxic labels (0 if
 none). Added columns never clash: their names are given by the caller.
 """
 
@@ -163,7 +163,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     chosen = documents.sparkSession.createDataFrame([(i,) for i in sorted(label)], "doc_id long")
     rows = (
         texts.join(F.broadcast(chosen), "doc_id", "left_semi")  # at most 2 * PER_CLASS ids
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     rows.sort(key=lambda r: r.doc_id)

@@ -51,3 +51,12 @@ def test_no_python_in_the_plan(spark, sf):
 
 def test_empty(spark):
     assert chat.format_chats(frame(spark, [])).count() == 0
+
+
+def test_equal_turns_with_long_equal_heads(spark):
+    head = "h" * 100
+    rows = [(1, 0, "user", head + x) for x in ("b", "a", "c")] + [(2, 0, "user", head + x) for x in ("c", "a", "b")] + [(2, 1, "assistant", "é" * 100_000)] + [(3, None, None, "x"), (3, None, None, "x")]
+    got = {r.conv_id: r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect()}
+    assert set(got) == {2, 3} and got[2].n_turns == 4 and got[3].n_turns == 2
+    places = [got[2].rendered.index(head + x) for x in "abc"]
+    assert places == sorted(places) and got[2].assistant_chars == 100_000

@@ -1,4 +1,7 @@
+import math
+import unicodedata
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -127,3 +130,104 @@ def test_labels_without_a_usable_text_take_no_place(spark, monkeypatch):
     docs = cases.documents(spark, [(i, cases.text(30, i) + (" awful" if i % 2 else "")) for i in range(40)] + [(i, "long " * 2000) for i in range(40, 400)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
     assert toxicity.train(docs, labels).weights.any()
+
+
+# ---- the same in plain Python, a word at a time
+
+
+def plain_words(text, kinds="L"):
+    out, word = [], ""
+    for ch in text.lower() + " ":
+        if unicodedata.category(ch)[0] in kinds:
+            word += ch
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def plain_grams(word, n, bits):
+    spaced = [0x20, *map(ord, word), 0x20]
+    for i in range(len(spaced) - n + 1):
+        h = n
+        for code in spaced[i : i + n]:
+            h = (h * 0x01000193 & 0xFFFFFFFF) ^ code
+        h = h * 0x9E3779B1 & 0xFFFFFFFF
+        h = (h ^ h >> 15) * 0x85EBCA6B & 0xFFFFFFFF
+        yield h >> 32 - bits
+
+
+def plain_toxicity(model, text):
+    seen = list(dict.fromkeys(plain_words(text, "LN")))
+    blocks = [seen[i : i + toxicity.HALF] for i in range(0, len(seen), toxicity.HALF)] or [[]]
+    best = -math.inf
+    for i in range(len(blocks)):
+        grams = [g for block in blocks[i : i + 2] for w in block for n in toxicity.GRAMS for g in plain_grams(w, n, toxicity.BITS)]
+        best = max(best, sum(float(model.weights[g]) for g in grams) / max(len(grams), toxicity.FULL))
+    return 1 / (1 + math.exp(-max(-30, min(30, best + model.bias))))
+
+
+def test_toxicity_is_the_plain_scorer_s(spark):
+    texts, y = toy(120, 1)
+    model = toxicity.fit(texts, y, 0.33)
+    texts = [*texts[:40], *(t or "" for _, t in cases.TEXTS if len(t or "") < 5000), "É1 x", "the the the the", "a"]
+    assert model.scores(texts) == pytest.approx([plain_toxicity(model, t) for t in texts], abs=1e-6)
+
+
+def plain_mixture(model, text):
+    words, k = plain_words(text), len(model.names)
+    if not words:
+        return [0.0] * k
+    like = []
+    for w in words:
+        logs = [sum(float(model.log_p[g, j]) for g in plain_grams(w, language.GRAM, language.BITS)) for j in range(k)]
+        like.append([max(math.exp(x - max(logs)), 1e-12) for x in logs])
+
+    def infer(share, allowed, rounds):
+        share = [max(s, 1e-3) if j in allowed else 0.0 for j, s in enumerate(share)]
+        share = [s / sum(share) for s in share]
+        for _ in range(rounds):
+            total = [0.0] * k
+            for row in like:
+                mixed = [a * b for a, b in zip(row, share, strict=True)]
+                total = [t + m / sum(mixed) for t, m in zip(total, mixed, strict=True)]
+            share = [t / len(words) for t in total]
+        value = sum(math.log(sum(a * b for a, b in zip(row, share, strict=True))) for row in like)
+        return share, value - 0.5 * math.log(len(words) + 1) * len(allowed)
+
+    allowed = set(range(k))
+    share, value = infer([1 / k] * k, allowed, language.ROUNDS)
+    while len(allowed) > 1:
+        fewer = allowed - {min(sorted(allowed), key=lambda j: share[j])}
+        new, worth = infer(share, fewer, language.ROUNDS // 2)
+        if worth < value:
+            break
+        share, value, allowed = new, worth, fewer
+    return share
+
+
+def test_mixtures_are_the_plain_ones(spark, sf):
+    docs = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if len(r.text) < 3000][:60]
+    model = language.train(spark.read.parquet(f"{sf}/documents.parquet"))
+    texts = [*docs, docs[0][:300] + " " + docs[1][:300], "", "12 !", *(t or "" for _, t in cases.TEXTS if len(t or "") < 2000)]
+    got, _ = model.proportions(texts)
+    assert got == pytest.approx(np.array([plain_mixture(model, t) for t in texts]), abs=1e-6)
+
+
+def test_toxicity_of_held_out_documents(spark):
+    sf = Path("/root/testdata/sf0.1")
+    if not sf.exists():
+        pytest.skip("test tables are not here")
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.toxic is not None}
+    rows = [r for r in toxicity.op2_toxicity(spark, str(sf)).collect() if r.held_out and r.doc_id in truth]
+    y, s = [truth[r.doc_id] for r in rows], [r.score for r in rows]
+    called = np.array([r.predicted for r in rows])
+    assert sum(y) > 20 and auc(y, s) > 0.95
+    assert called[np.array(y) == 1].mean() > 0.85 and called[np.array(y) == 0].mean() < 0.02
+
+
+def test_training_does_not_depend_on_the_order_of_texts(spark):
+    rows = [(i % 30, cases.text(30, i) + (" awful" if i % 2 else "")) for i in range(90)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    a, b = (toxicity.train(cases.documents(spark, r).repartition(n), labels) for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert np.array_equal(a.weights, b.weights) and a.weights.any()

@@ -40,3 +40,27 @@ def test_what_the_operator_calls_toxic_goes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(C.toxicity, "train", lambda docs, labels: None)
     monkeypatch.setattr(C.toxicity, "score", lambda docs, model, name: docs.withColumn(name, docs.doc_id / 10))
     assert {r.doc_id for r in C.drop_toxic(spark, docs, at).collect()} == {0, 1, 2}
+
+
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    at = tables(spark, tmp_path, cases.TEXTS)
+    names = ["toxicity_score", "Language_Found", "language_share", "component_id", "kept", "score", "digest", "place", "_"]
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    for name in names:
+        docs = docs.withColumn(name, C.F.lit(name))
+    for _, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, at)
+        assert out.columns == docs.columns
+        assert all(r[n] == n for r in out.collect() for n in names)
+    assert C.STAGES[-1][1](spark, docs, at).count() > 0
+
+
+def test_all_but_the_result_is_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from sievemill.llm.shared import shared_dir
+
+    at = tables(spark, tmp_path, cases.TEXTS[:6])
+    before = set(Path(shared_dir(spark).removeprefix("file://")).iterdir())
+    C.run(spark, at).count()
+    assert [p.name.split("-")[0] for p in set(Path(shared_dir(spark).removeprefix("file://")).iterdir()) - before] == ["packing"]
