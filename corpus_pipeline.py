@@ -1,7 +1,13 @@
 """A training-corpus pipeline: stages applied to ``documents`` in turn, each written before the next reads it.
 
-Each stage works on all rows that the one before kept. Rows with null ids or texts, repeated rows and empty tables are treated
-as the operators' docstrings say.
+Each stage works on all rows that the one before kept, and all but the last return the columns of ``documents`` unchanged, whatever
+other columns there are and however they are named. Defined results:
+
+* null, empty and unlettered texts have the toxicity of the bias alone and stay in that stage; the language stage drops them, as
+  no language explains them;
+* rows with a null ``doc_id`` are judged for toxicity, language and leaks like others, and never count as near-duplicates;
+* repeated rows are judged each for itself; the near-duplicate stage keeps one of those that repeat id and text;
+* an empty table gives an empty table in every stage.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.llm import decontamination, language, near_dup, packing, toxicity
-from sievemill.llm.shared import written
+from sievemill.llm.shared import free_name, only, written
 
 #: A document goes if the operator would call it toxic.
 TOXIC = toxicity.THRESHOLD
@@ -19,13 +25,15 @@ TOXIC = toxicity.THRESHOLD
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not likely to be toxic."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, "toxicity_score").filter(F.col("toxicity_score") < TOXIC).select(docs.columns)
+    name = free_name(docs.columns, "toxicity_score")
+    return toxicity.score(docs, model, name).filter(F.col(name) < TOXIC).select(docs.columns)
 
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that some learned language explains; texts without a letter go."""
-    found = language.identify(docs, language.train(docs), "language_found", "language_share")
-    return found.filter(F.col("language_found") != language.UNDETERMINED).select(docs.columns)
+    name = free_name(docs.columns, "language_found")
+    found = language.identify(docs, language.train(docs), name, free_name([*docs.columns, name], "language_share"))
+    return found.filter(F.col(name) != language.UNDETERMINED).select(docs.columns)
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +60,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table."""
+    """All stages over the whole ``documents`` table. What a stage wrote for itself goes when its result is written, and that when
+    the next one's is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs, _ = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with only(spark) as keep:
+        for name, stage in STAGES[:-1]:
+            with only(spark) as keep_here:
+                docs = keep_here(*written(stage(spark, docs, sf_dir), name))
+        return keep(*written(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0]))
