@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.llm import decontamination, language, near_dup, packing, toxicity
-from sievemill.llm.shared import free_name, only, written
+from sievemill.llm.shared import free_name, only, remove, written
 
 #: A document goes if the operator would call it toxic.
 TOXIC = toxicity.THRESHOLD
@@ -64,7 +64,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     the next one's is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     with only(spark) as keep:
+        before: list[str] = []
         for name, stage in STAGES[:-1]:
             with only(spark) as keep_here:
-                docs = keep_here(*written(stage(spark, docs, sf_dir), name))
+                docs, path = written(stage(spark, docs, sf_dir), name)
+                keep_here(docs, path)
+            remove(spark, *before)
+            before = [path]
         return keep(*written(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0]))
