@@ -82,6 +82,8 @@ class Best:
         return cls(np.full((n, k), -1, np.int64), np.full((n, k), -np.inf))
 
     def add(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        some = scores >= self.scores[i, -1]
+        ids, scores = ids[some], scores[some]
         ids, scores = np.concatenate([self.ids[i], ids]), np.concatenate([self.scores[i], scores])
         order = np.lexsort((ids, -scores))[: self.ids.shape[1]]
         self.ids[i], self.scores[i] = ids[order], scores[order]
@@ -99,14 +101,14 @@ def search(best: Best, at: int, query_ids, q, q_table, ids, x, table) -> int:
     upper = (qq[:, None] + xx[None] - low * low) / 2 + 0.5
     evaluated = 0
     for i in range(len(q)):
-        bound, step = upper[i], 64
+        bound, step, a = upper[i], 64, 0
         left = np.flatnonzero((bound >= best.scores[at + i, -1]) & (ids != query_ids[i]))
-        while len(left):
-            now = left if len(left) <= step else left[np.argpartition(-bound[left], step)[:step]]
+        left = left[np.argsort(-bound[left])]
+        while a < len(left) and bound[left[a]] >= best.scores[at + i, -1]:
+            now = left[a : a + step]
             best.add(at + i, ids[now], x[now] @ q[i])
             evaluated += len(now)
-            left = np.setdiff1d(left, now, assume_unique=True)
-            left = left[bound[left] >= best.scores[at + i, -1]]
+            a += step
             step *= 2
     return evaluated
 
