@@ -125,7 +125,7 @@ def load(df: DataFrame, expected: list[tuple[str, str, str]], pos: str, citation
     from sievemill.functions import urls
 
     from .link import max_by_lookup
-    from .validate import first_messages, loader_rules, violations
+    from .validate import first_messages, id_violations, loader_rules, violations
 
     fields = [parse_header(h, i) for i, h in enumerate(c for c in df.columns if c != pos)]
     errors = schema_errors(fields, expected, required=required)
@@ -133,7 +133,7 @@ def load(df: DataFrame, expected: list[tuple[str, str, str]], pos: str, citation
         raise ValueError(error_text(errors))
     kinds = {f.name: f.kind for f in fields}
     rows = normalize(df.select(pos, *[F.col(f"`{f.header}`").alias(f.name) for f in fields]), kinds)
-    found = first_messages(violations(rows, pos, "id", loader_rules(kinds)), MOST_ERRORS, spreadsheet=True)
+    found = first_messages(id_violations(rows, pos, "id").union(violations(rows, pos, "id", loader_rules(kinds))), MOST_ERRORS, spreadsheet=True)
     if found:
         raise ValueError(found)
     doi = next((c for c, k in kinds.items() if k == "t-word-doi"), None)
@@ -144,3 +144,19 @@ def load(df: DataFrame, expected: list[tuple[str, str, str]], pos: str, citation
     if accessibility is not None and url and access:
         rows = rows.drop(access).withColumn("url_key", urls.url_key(F.col(url))).join(accessibility.select("url_key", F.col("accessible").alias(access)), "url_key", "left").drop("url_key")
     return typed(rows.select(pos, *[f.name for f in fields]), kinds), display_columns(df, fields)
+
+
+def save(rows: DataFrame, metadata: DataFrame, table: str = "database_info", columns: str = "display_columns") -> None:
+    """Replace the catalog's two tables."""
+    from sievemill.sources.files import replace_table
+
+    replace_table(rows, table)
+    replace_table(metadata, columns)
+
+
+def saved(spark, table: str = "database_info", columns: str = "display_columns") -> tuple[DataFrame, DataFrame]:
+    """The catalog's two tables; one that is missing is an error that names it."""
+    missing = [t for t in (table, columns) if not spark.catalog.tableExists(t)]
+    if missing:
+        raise LookupError(f"missing tables: {', '.join(missing)}")
+    return spark.table(table), spark.table(columns)

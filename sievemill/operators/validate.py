@@ -27,6 +27,11 @@ PLACEHOLDER_TERMS = [
 ]
 NEURAL_TERMS = ["brain", "neural", "neuron", "glia", "cortex", "hippocamp", "cerebell", "spinal", "astrocy", "microglia", "oligodend", "parkinson", "alzheimer"]
 REASON_CHARS, STATEMENT_CHARS = 80, (20, 300)
+# Columns of the statistics table, its first year and its vocabularies.
+LANDSCAPE_COLUMNS = ["id", "name", "year", "accessibility", "species", "disease", "development", "region", "resolution", "read", "classification"]
+LANDSCAPE_FIRST = 1800
+LANDSCAPE_TAGS = {"resolution": ["bulk", "single_cell"], "read": ["short", "long"]}
+LANDSCAPE_ACCESS = ["yes", "no", "live", "dead"]
 # Columns by their bare names, and the values that they may hold as a whole.
 ALLOWED = {
     "original48": ["yes", "no"],
@@ -59,15 +64,28 @@ def low(name: str) -> Column:
 
 def violations(df: DataFrame, pos: str, row_id: str, rules: list[Rule]) -> DataFrame:
     """``row_pos, id, column, rule, rule_no, value``: one row for each broken rule, from one pass over the table."""
+    if not rules:
+        return df.select(F.col(pos).alias("row_pos"), F.col(row_id).cast("string").alias("id")).limit(0).selectExpr("*", "'' AS column", "'' AS rule", "0 AS rule_no", "'' AS value")
     found = [F.when(F.coalesce(broken, F.lit(False)), F.struct(F.lit(i).alias("rule_no"), F.lit(c).alias("column"), F.lit(r).alias("rule"), X.clean(v).alias("value"))) for i, (c, r, broken, v) in enumerate(rules)]
     each = df.select(F.col(pos).alias("row_pos"), F.col(row_id).cast("string").alias("id"), F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("v"))
     return each.select("row_pos", "id", "v.column", "v.rule", "v.rule_no", "v.value")
 
 
+def id_violations(df: DataFrame, pos: str, row_id: str) -> DataFrame:
+    """Blank ids, and ids that an earlier row has, with where it stands as a sheet numbers rows; in the form of ``violations``, before
+    all rules of cells."""
+    own = df.select(F.col(pos).alias("row_pos"), X.clean(F.col(row_id)).alias("id"))
+    blank = own.filter("id = ''").select("row_pos", "id", F.lit("is blank").alias("rule"))
+    some = own.filter("id <> ''")
+    firsts = some.groupBy("id").agg(F.min("row_pos").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    again = some.join(firsts, "id").filter("row_pos > first").select("row_pos", "id", F.concat(F.lit("is a duplicate; first seen at Excel row "), F.col("first") + 2).alias("rule"))
+    return blank.union(again).select("row_pos", "id", F.lit(row_id).alias("column"), "rule", F.lit(-1).alias("rule_no"), F.col("id").alias("value"))
+
+
 def first_messages(found: DataFrame, most: int, spreadsheet: bool = False) -> str | None:
     """The first violations in row order as one text, and how many more there are; null if there are none. ``spreadsheet``: rows are
     named as a sheet numbers them, from 2 on."""
-    rows = found.orderBy("row_pos", "rule_no").limit(most + 1).collect()
+    rows = found.orderBy(F.col("rule_no") >= 0, "row_pos", "rule_no").limit(most + 1).collect()  # ids first
     if not rows:
         return None
     where = lambda r: f"Excel row {r.row_pos + 2}, id={r.id}" if spreadsheet else f"id {r.id}"
@@ -203,16 +221,24 @@ def curation_rules() -> list[Rule]:
     ]
 
 
-def validate_chunk(result: DataFrame, source: DataFrame, pos: str, columns: list[str], frozen: list[str]) -> dict:
-    """Status of a curated chunk against its input: ``complete`` or ``invalid`` with the first failing rule's first violations. Checks
-    in order: columns, row count, unchanged cells, the rules, the share of manual reviews."""
+def validate_chunk(result: DataFrame | None, source: DataFrame, pos: str, columns: list[str], frozen: list[str]) -> dict:
+    """Status of a curated chunk against its input: ``pending`` without a result, ``complete``, or ``invalid`` with the first failing
+    rule's first violations. Checks in order: columns and their order, row count, unchanged cells, the rules, the share of manual
+    reviews."""
     from .link import changed_rows
 
+    if result is None:
+        return {"status": "pending", "input_rows": None, "result_rows": None, "error": "result is missing"}
     n_in, n_out = source.count(), result.count()
     report = lambda error: {"status": "invalid" if error else "complete", "input_rows": n_in, "result_rows": n_out, "error": error or ""}
     missing = [c for c in columns if c not in result.columns]
     if missing:
         return report(f"missing columns: {', '.join(missing)}")
+    extra = [c for c in result.columns if c not in columns and c != pos]
+    if extra:
+        return report(f"unknown columns: {', '.join(extra)}")
+    if [c for c in result.columns if c != pos] != columns:
+        return report("columns are in another order")
     if n_in != n_out:
         return report(f"expected {n_in} rows, found {n_out}")
     changed = changed_rows(source, result, pos, frozen).orderBy(pos).limit(5).collect()
@@ -237,15 +263,104 @@ def loader_rules(kinds: dict[str, str]) -> list[Rule]:
             rules.append((c, "invalid URL", some & ~text.rlike(r"(?iU)^https?://[^/\s?#]+\S*$"), value))
         elif kind == "t-word-doi":
             rules.append((c, "invalid DOI", some & F.exists(tags.split_tags(value), lambda d: ~ids.is_doi(d)), value))
-        elif kind == "t-numeric":
+        elif kind in ("t-numeric", "t-numeric-cite"):
             rules.append((c, "not a number", some & text.try_cast("double").isNull(), value))
-        elif kind == "t-bool":
+        elif kind in ("t-bool", "t-bool-access"):
             rules.append((c, "not a boolean", some & X.flag(value).isNull(), value))
         elif kind == "t-word-tag":
             rules.append((c, "forbidden separator", text.rlike("[,；|]"), value))
     return rules
 
 
+def visit_rules() -> list[Rule]:
+    """Rules of a final review: the canonical row is a member, the visit agrees with access and decision, the statement says something."""
+    c = lambda n: F.lower(X.clean(F.col(n)))
+    text = lambda n: X.clean(F.col(n))
+    members = F.transform(tags.split_tags(F.col("members")), X.clean_id)
+    live, dead, yes = c("accessibility") == "live", c("accessibility") == "dead", c("db_type_confirmation") == "yes"
+    visit, asked = c("visit_status"), c("automatic_status") == "continue_required"
+    return [
+        ("representative", "invalid canonical/representative assignment", (text("canonical") == "") | ~F.array_contains(members, X.clean_id(F.col("representative"))), F.col("representative")),
+        ("visit_status", "invalid visit status", ~visit.isin(VISIT_STATUS), visit),
+        ("checked_url", "live row lacks a checked URL", live & ~is_http_url(text("checked_url")), F.col("checked_url")),
+        ("click_path", "continue-required row lacks a click path", asked & (text("click_path") == ""), F.col("click_path")),
+        ("visit_status", "live yes database was not entered", yes & live & ~visit.isin("entered_database", "restricted"), visit),
+        ("visit_status", "continue-required yes database was not entered", yes & live & asked & (visit != "entered_database"), visit),
+        ("visit_status", "dead yes database was not confirmed", yes & dead & (visit != "confirmed_dead"), visit),
+        ("review_statement", "review statement too short", F.length(text("review_statement")) < STATEMENT_CHARS[0], F.col("review_statement")),
+    ]
+
+
+def validate_final_review(result: DataFrame | None, source: DataFrame, pos: str, columns: list[str], frozen: list[str], neural_columns: list[str]) -> dict:
+    """Status of a final review against its input. Checks in order: columns, row count, order of ids, unchanged cells, evidence,
+    decisions with the share of manual reviews, visits."""
+    from .link import changed_rows
+
+    if result is None:
+        return {"status": "pending", "input_rows": None, "result_rows": None, "error": "result is missing"}
+    n_in, n_out = source.count(), result.count()
+    report = lambda error: {"status": "invalid" if error else "complete", "input_rows": n_in, "result_rows": n_out, "error": error or ""}
+    if any([c for c in df.columns if c != pos] != columns for df in (source, result)):
+        return report("schema mismatch")
+    if n_in != n_out:
+        return report("row count mismatch")
+    if not changed_rows(source, result, pos, ["id"]).isEmpty():
+        return report("id order mismatch")
+    changed = changed_rows(source, result, pos, frozen).orderBy(pos).limit(1).collect()
+    if changed:
+        return report(f"immutable column was changed: {changed[0].column}")
+    for rules in (final_evidence_rules(), final_decision_rules(neural_columns)):
+        error = first_messages(violations(result, pos, "id", rules), 8)
+        if error:
+            return report(error)
+    reviews = result.filter(F.lower(X.clean(F.col("manual_review_needed"))) == "yes").count()
+    if reviews > final_review_limit(n_out):
+        return report(f"manual review limit exceeded: {reviews}/{n_out} rows, maximum {final_review_limit(n_out)}")
+    return report(first_messages(violations(result, pos, "id", visit_rules()), 8))
+
+
+def review_manifest(spark, chunks: dict[str, tuple[DataFrame, DataFrame | None]], earlier: DataFrame | None, policy: str, check) -> DataFrame:
+    """``chunk_id, status, input_rows, result_rows, error, policy_version`` of every chunk (id to input and result), as ``check(result,
+    source)`` says. An earlier manifest of another policy version is an error."""
+    if earlier is not None:
+        other = policy_mismatches(earlier.filter(X.clean(F.col("policy_version")) != ""), "policy_version", policy)
+        if other:
+            raise ValueError(f"policy version is {', '.join(other)} in the manifest, not {policy}")
+    rows = [(k, *(check(result, source)[c] for c in ("status", "input_rows", "result_rows", "error")), policy) for k, (source, result) in sorted(chunks.items())]
+    return spark.createDataFrame(rows, "chunk_id string, status string, input_rows long, result_rows long, error string, policy_version string")
+
+
+def landscape_rules(this_year: int) -> list[Rule]:
+    """Rules of a statistics table's cells: years are whole and within range, tags and accessibility within their vocabularies."""
+    year = F.col("year").cast("string").try_cast("double")
+    outside = lambda c, allowed: F.size(F.array_except(F.transform(tags.split_tags(F.col(c)), lambda t: F.lower(X.collapse(t))), F.array(*map(F.lit, allowed)))) > 0
+    access = F.lower(X.collapse(F.coalesce(F.col("accessibility").cast("string"), F.lit(""))))
+    return [
+        ("name", "is missing", X.is_blank(F.col("name")), F.col("name")),
+        ("year", "is not a whole number", year.isNotNull() & (year != F.round(year)), F.col("year")),
+        ("year", "is out of range", year.isNotNull() & ~year.between(LANDSCAPE_FIRST, this_year), F.col("year")),
+        *[(c, "has unknown tags", outside(c, allowed), F.col(c)) for c, allowed in LANDSCAPE_TAGS.items()],
+        ("accessibility", "has unknown values", ~access.isin(LANDSCAPE_ACCESS), F.col("accessibility")),
+    ]
+
+
+def landscape_violations(df: DataFrame, pos: str, this_year: int) -> DataFrame:
+    """All that is wrong with a statistics table: ids and names that are missing or repeated, and its cells' rules."""
+    names = id_violations(df.select(pos, "name"), pos, "name").filter("rule <> 'is blank'")
+    return id_violations(df, pos, "id").union(names).union(violations(df, pos, "id", landscape_rules(this_year)))
+
+
+def check_landscape(df: DataFrame, pos: str, this_year: int) -> DataFrame:
+    """The table if it fits the contract, else an error: required columns first."""
+    missing = [c for c in LANDSCAPE_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    error = first_messages(landscape_violations(df, pos, this_year), 50, spreadsheet=True)
+    if error:
+        raise ValueError(error)
+    return df
+
+
 def policy_mismatches(df: DataFrame, column: str, version: str) -> list[str]:
     """Other policy versions than the run's among finished rows."""
     found = df.select(X.clean(F.col(column)).alias("v")).filter(F.col("v") != version).distinct().limit(5).collect()

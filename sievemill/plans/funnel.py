@@ -37,6 +37,7 @@ class Config:
     most_seeds: int | None = None
     page_size: int = 1000
     detail_batch: int = 50
+    detail_rate: float = 9.0
     pattern: str = screen.RESOURCE_PATTERN
     scope: str | None = screen.SCOPE_PATTERN
     policy_version: str = "v1"
@@ -54,9 +55,12 @@ def prompt(title: str = "title", abstract: str = "abstractText"):
     return F.concat(F.lit("Title: "), X.clean(F.col(title)), F.lit("\nAbstract: "), X.clean(F.col(abstract)))
 
 
-def classify(rows: DataFrame, transport: services.Transport, folder: str, policy: str, most: int | None = None, pos: str = "pos") -> DataFrame:
-    """Model answers of every row that has none yet, parsed; rows whose answer can't be used come again."""
-    keyed = rows.withColumn("paper_key", ids.paper_key(F.col(pos), F.col("doi"), F.col("pmid"), F.col("pmcid"), F.col("title"))).withColumn("prompt", prompt())
+def keyed_papers(rows: DataFrame, pos: str = "pos") -> DataFrame:
+    return rows.withColumn("paper_key", ids.paper_key(F.col(pos), F.col("doi"), F.col("pmid"), F.col("pmcid"), F.col("title")))
+
+
+def answering(transport: services.Transport, policy: str):
+    """What asks a model about papers and parses its answers, with an ``error`` where one can't be used."""
 
     def work(todo: DataFrame) -> DataFrame:
         answers = services.ask_model(todo.withColumn("key", F.col("paper_key")), "key", "prompt", transport)
@@ -64,7 +68,40 @@ def classify(rows: DataFrame, transport: services.Transport, folder: str, policy
         fields = [F.col(f"p.{c}").alias(c) for c in ("AI_class", "AI_check", "screening_policy_version", "AI_reason", "resource_name", "resource_type", "url_mentioned", "target_scope_hint")]
         return parsed.select(F.col("key").alias("paper_key"), *fields, F.coalesce(F.when(F.col("error") != "", F.col("error")), F.col("p.error")).alias("error"))
 
-    return resume_map(keyed, "paper_key", folder, work, most, pos)
+    return work
+
+
+def classify(rows: DataFrame, transport: services.Transport, folder: str, policy: str, most: int | None = None, pos: str = "pos") -> DataFrame:
+    """Model answers of every row that has none yet, parsed; rows whose answer can't be used come again."""
+    return resume_map(keyed_papers(rows, pos).withColumn("prompt", prompt()), "paper_key", folder, answering(transport, policy), most, pos)
+
+
+def detailed(transport: services.Transport, batch: int, rate: float):
+    """What asks for the details of references."""
+
+    def work(todo: DataFrame) -> DataFrame:
+        found = services.fetch_details(todo, transport, batch, rate)
+        return found.withColumn("detail_key", ids.detail_key(F.col("ref_source"), F.col("ref_id")))
+
+    return work
+
+
+def curated_again(rows: DataFrame, policy: str, pos: str = "pos") -> DataFrame:
+    """An earlier curation table as input of a new one: identity kept, decisions cleared. Blank and repeated ids are errors."""
+    from sievemill.operators.validate import id_violations
+
+    bad = id_violations(rows, pos, "id").orderBy("row_pos").limit(1).collect()
+    if bad:
+        raise ValueError(f"row {bad[0].row_pos}: id {bad[0].rule}")
+    original = F.lower(X.clean_chunk(F.col("original48")))
+    made = {
+        "id": X.clean_year(F.col("id")),
+        **{c: X.clean_chunk(F.col(c)) for c in ("title", "database_name", "database_url", "doi", "pmid")},
+        "year": X.clean_year(F.col("year")),
+        "original48": F.when(original.isin("yes", "no"), original).otherwise(F.lit("no")),
+        "policy_version": F.lit(policy),
+    }
+    return rows.select(pos, *[made.get(c, F.lit("")).alias(c) for c in CURATION])
 
 
 def curation_table(rows: DataFrame, policy: str, pos: str = "pos") -> DataFrame:
@@ -87,20 +124,22 @@ def curation_table(rows: DataFrame, policy: str, pos: str = "pos") -> DataFrame:
 
 
 def run(spark: SparkSession, config: Config) -> DataFrame:
-    """The funnel up to the curation table; every stage is written once and reused when the run is resumed."""
+    """The funnel up to the curation table; every stage is written once and reused when the run is resumed. Details and answers that
+    failed are asked for again then, and what follows from them is made anew; ``Paused`` says that answers are left to ask for."""
     stages = Stages(spark, config.folder, config.resume, {"policy_version": config.policy_version, "query": config.query}, config.stages)
     t = config.transports
     found = stages.run("search", lambda: services.search_years(spark, t["search"], config.query, services.parse_years(config.years), config.most_per_year, config.page_size))
     seed = stages.run("seeds", lambda: dedup.seed_articles(found, config.dedupe_order, "pos", config.most_seeds))
     edges = stages.run("references", lambda: services.fetch_references(dedup.seed_pmids(seed, "pos"), t["references"]))
     targets = dedup.reference_targets(edges.withColumn("pos", F.monotonically_increasing_id()), "pos")
-    details = stages.run("details", lambda: services.fetch_details(targets, t["details"], config.detail_batch).filter("error = ''").drop("error"))
+    targets = targets.withColumn("detail_key", ids.detail_key(F.col("ref_source"), F.col("ref_id")))
+    details = stages.answer("details", targets, "detail_key", detailed(t["details"], config.detail_batch, config.detail_rate)).drop("detail_key")
     detail = stages.run("cited", lambda: dedup.reference_details(details.withColumn("pos", F.monotonically_increasing_id()), "pos"))
     kept = stages.run("screened", lambda: screened(seed.drop("year_window"), detail.drop("ref_source", "ref_id"), config.pattern, config.scope))
     with_text, _ = screen.split_missing(kept)
-    answers = stages.run("classified", lambda: classify(with_text, t["model"], f"{config.folder}/answers", config.policy_version, config.most_answers))
-    yes = screen.yes_only(answers).drop("pos")
-    rows = with_text.withColumn("paper_key", ids.paper_key(F.col("pos"), F.col("doi"), F.col("pmid"), F.col("pmcid"), F.col("title"))).join(yes, "paper_key")
+    papers = keyed_papers(with_text)
+    answers = stages.answer("classified", papers.withColumn("prompt", prompt()), "paper_key", answering(t["model"], config.policy_version), config.most_answers, "pos")
+    rows = papers.join(screen.yes_only(answers).drop("pos"), "paper_key")
     return stages.run("curation", lambda: curation_table(rows, config.policy_version))
 
 

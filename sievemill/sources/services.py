@@ -4,8 +4,13 @@ doesn't repeat calls."""
 
 from __future__ import annotations
 
+import json
 import re
+import ssl
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -57,6 +62,59 @@ def with_retries(call: Callable[[], dict], attempts: int = ATTEMPTS, sleep=time.
     raise AssertionError("unreachable")
 
 
+class JsonTransport:
+    """A service that answers in JSON over HTTP. Fields of a request that the address names in braces go there; a list of ``dois`` is
+    posted, the rest are query parameters. Errors of the service come back as their status."""
+
+    def __init__(self, address: str, fixed: dict[str, str] | None = None, headers: dict[str, str] | None = None, timeout: float = 30.0):
+        self.address, self.fixed, self.headers, self.timeout = address, fixed or {}, headers or {}, timeout
+
+    def request(self, fields: dict[str, Any]) -> urllib.request.Request:
+        named = set(re.findall(r"{(\w+)}", self.address))
+        url = self.address.format(**{k: urllib.parse.quote(str(v), safe="") for k, v in fields.items() if k in named})
+        rest = {k: v for k, v in fields.items() if k not in named}
+        body = json.dumps({"ids": [f"DOI:{d}" for d in rest.pop("dois")]}).encode() if "dois" in rest else None
+        query = urllib.parse.urlencode({**self.fixed, **rest})
+        headers = {**self.headers, **({"Content-Type": "application/json"} if body else {})}
+        return urllib.request.Request(f"{url}?{query}" if query else url, body, headers)
+
+    def __call__(self, fields: dict[str, Any]) -> dict[str, Any]:
+        try:
+            with urllib.request.urlopen(self.request(fields), timeout=self.timeout) as answer:
+                found = json.load(answer)
+                return {**(found if isinstance(found, dict) else {"results": found}), "status_code": answer.status}
+        except urllib.error.HTTPError as e:
+            return {"status_code": e.code}
+
+
+class PageTransport:
+    """Web pages for liveness checks: status, final address, the first bytes of the body and the redirects on the way."""
+
+    def __init__(self, most: int = 262_144):
+        self.most = most
+
+    def __call__(self, fields: dict[str, Any]) -> dict[str, Any]:
+        history: list[dict] = []
+
+        class Redirects(urllib.request.HTTPRedirectHandler):
+            def redirect_request(self, req, fp, code, msg, headers, newurl):
+                history.append({"url": req.full_url})
+                return super().redirect_request(req, fp, code, msg, headers, newurl)
+
+        context = ssl.create_default_context()
+        if not fields.get("verify", True):
+            context.check_hostname, context.verify_mode = False, ssl.CERT_NONE
+        opener = urllib.request.build_opener(Redirects, urllib.request.HTTPSHandler(context=context))
+        request = urllib.request.Request(fields["url"], method=fields["method"])
+        try:
+            answer = opener.open(request, timeout=fields["timeout"])
+        except urllib.error.HTTPError as e:
+            answer = e
+        with answer:
+            body = answer.read(self.most) if fields["method"] == "GET" else b""
+            return {"status_code": answer.status, "url": answer.geturl(), "text": body.decode("utf-8", "replace"), "history": history}
+
+
 # ---- searches
 
 
@@ -74,8 +132,8 @@ def parse_years(spec: str) -> list[int]:
 
 
 def pages(transport: Transport, query: str, page_size: int = 1000, most: int | None = None) -> Iterator[dict]:
-    """Articles of a cursor search: ends at an empty page, without a cursor or with the same one, or at ``most`` articles."""
-    cursor, n = "*", 0
+    """Articles of a cursor search: ends at an empty page, without a cursor or with one that came before, or at ``most`` articles."""
+    cursor, n, seen = "*", 0, {"*"}
     size = min(max(page_size, PAGE_SIZE[0]), PAGE_SIZE[1])
     while most is None or n < most:
         answer = transport({"query": query, "cursorMark": cursor, "pageSize": size})
@@ -86,9 +144,10 @@ def pages(transport: Transport, query: str, page_size: int = 1000, most: int | N
             n += 1
             yield article
         after = answer.get("nextCursorMark")
-        if not found or not after or after == cursor:
+        if not found or not after or after in seen:
             return
         cursor = after
+        seen.add(cursor)
 
 
 def article_row(a: dict) -> list[str]:
@@ -159,15 +218,25 @@ def fetch_references(pmids: DataFrame, transport: Transport, rate: float = 10.0)
     return pmids.select("pmid").mapInPandas(run, _text_schema([*EDGE_COLUMNS, "error"]))
 
 
-def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50) -> DataFrame:
+def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50, rate: float = 9.0, sleep=time.sleep) -> DataFrame:
     """Details of (source, id) targets: batches of one source by one call, matched by key, and single calls for what a batch lacks.
-    A target that fails has its ``error``."""
+    Calls wait for the rate, which partitions share, and statuses worth it are tried again. A target that fails has its ``error``."""
+    parts = max(1, targets.rdd.getNumPartitions())
 
     def key(a: dict) -> tuple[str, str]:
         source = str(a.get("source") or "")
         return source, str(a.get("id") or (a.get("pmid") if source == "MED" else a.get("pmcid") if source == "PMC" else "") or "")
 
     def run(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gate = RateLimit(rate, parts)
+
+        def ask(request: dict) -> dict:
+            gate.wait()
+            answer = with_retries(lambda: transport(request), 1 + (ATTEMPTS - 1) * (rate > 0), sleep)
+            if answer.get("status_code", 200) >= 400:
+                raise OSError(f"status {answer['status_code']}")
+            return answer
+
         for pdf in found:
             rows = []
             for source, part in pdf.groupby("ref_source", sort=False):
@@ -176,7 +245,7 @@ def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50) ->
                     own, got, error = wanted[i : i + batch], {}, ""
                     try:
                         query = f"SRC:{source} AND ({' OR '.join(f'EXT_ID:{x}' for x in own)})"
-                        for a in transport({"query": query, "pageSize": len(own)}).get("resultList", {}).get("result", []):
+                        for a in ask({"query": query, "pageSize": len(own)}).get("resultList", {}).get("result", []):
                             got.setdefault(key(a), a)
                     except Exception as e:
                         error = str(e) or type(e).__name__
@@ -184,7 +253,7 @@ def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50) ->
                         a, why = got.get((source, x)), error
                         if a is None:
                             try:
-                                a = transport({"source": source, "id": x}).get("result")
+                                a = ask({"source": source, "id": x}).get("result")
                             except Exception as e:
                                 why = "; ".join(filter(None, (error, str(e) or type(e).__name__)))
                         record = article_row({"source": source, **a}) if a else [""] * len(ARTICLE_COLUMNS)
@@ -195,8 +264,13 @@ def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50) ->
 
 
 def citation_counts(dois: DataFrame, transport: Transport, batch: int = CITATION_BATCH) -> DataFrame:
-    """``doi, count`` of distinct DOIs, case aside. Batches are answered by position; only what a successful batch leaves open is asked for
-    singly, so a failing service is not stormed."""
+    """``doi, count`` of distinct DOIs, case aside. Batches are answered by position, so one is taken only with a good status and as
+    many answers as DOIs; otherwise its DOIs have none. Only what a good batch leaves open is asked for singly, so a failing service
+    is not stormed."""
+
+    def good(answer: dict) -> bool:
+        return answer.get("status_code", 200) == 200
+
 
     def run(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in found:
@@ -204,15 +278,19 @@ def citation_counts(dois: DataFrame, transport: Transport, batch: int = CITATION
             for i in range(0, len(pdf), batch):
                 own = list(pdf.doi[i : i + batch])
                 try:
-                    answers = with_retries(lambda own=own: transport({"dois": own})).get("results", [])
+                    batch_answer = with_retries(lambda own=own: transport({"dois": own}))
+                    answers = batch_answer.get("results", []) if good(batch_answer) else []
                 except Exception:
+                    answers = []
+                if len(answers) != len(own):
                     rows += [(d, None) for d in own]
                     continue
-                for k, d in enumerate(own):
-                    n = (answers[k] or {}).get("citationCount") if k < len(answers) else None
+                for d, a in zip(own, answers, strict=True):
+                    n = (a or {}).get("citationCount")
                     if n is None:
                         try:
-                            n = with_retries(lambda d=d: transport({"doi": d})).get("citationCount")
+                            single = with_retries(lambda d=d: transport({"doi": d}))
+                            n = single.get("citationCount") if good(single) else None
                         except Exception:
                             n = None
                     rows.append((d, n))
