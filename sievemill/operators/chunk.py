@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sievemill.functions import text as X
 from sievemill.sources.shared_tables import written
 
 from .link import latest
@@ -42,16 +43,24 @@ def run_batches(df: DataFrame, partition: list[str], order: list[str], value: st
 def packed_units(sizes: Column, limit: int) -> Column:
     """Chunk of each unit of an array of sizes: units go together until a chunk has ``limit`` rows or the next would pass it; a
     unit that is larger stands alone."""
-    state = F.struct(F.lit(1).alias("chunk"), F.lit(0).cast("long").alias("rows"), F.array().cast("array<int>").alias("out"))
+    return X.let(chunk_starts(sizes, limit), lambda starts: F.flatten(F.transform(starts, lambda s, k: F.array_repeat(k + 1, (_next(starts, k, F.size(sizes)) - s).cast("int")))))
+
+
+def chunk_starts(sizes: Column, limit: int) -> Column:
+    """The place, from 0, of each chunk's first unit. Only starts are gathered, so a long fold copies a short array now and then."""
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("rows"), F.array().cast("array<int>").alias("starts"))
 
     def step(s: Column, n: Column) -> Column:
-        fits = (s.rows == 0) | (s.rows + n <= limit)
-        chunk = F.when(fits, s.chunk).otherwise(s.chunk + 1)
+        fits = (s.rows > 0) & (s.rows + n <= limit)
         rows = F.when(fits, s.rows + n).otherwise(n.cast("long"))
-        full = rows >= limit
-        return F.struct(F.when(full, chunk + 1).otherwise(chunk).alias("chunk"), F.when(full, F.lit(0).cast("long")).otherwise(rows).alias("rows"), F.concat(s.out, F.array(chunk)).alias("out"))
+        starts = F.when(fits, s.starts).otherwise(F.concat(s.starts, F.array(s.at)))
+        return F.struct((s.at + 1).alias("at"), F.when(rows >= limit, F.lit(0).cast("long")).otherwise(rows).alias("rows"), starts.alias("starts"))
+
+    return F.aggregate(sizes, state, step, lambda s: s.starts)
+
 
-    return F.aggregate(sizes, state, step, lambda s: s.out)
+def _next(starts: Column, k: Column, end: Column) -> Column:
+    return F.coalesce(F.try_element_at(starts, (k + 2).cast("int")), end)
 
 
 def atomic_chunks(df: DataFrame, pos: str, group: str, limit: int, lane: Column | None = None, name: str = "chunk_id") -> DataFrame:
@@ -62,8 +71,11 @@ def atomic_chunks(df: DataFrame, pos: str, group: str, limit: int, lane: Column
     rows = df.withColumn("_unit", unit).withColumn("_lane", lane)
     units = rows.groupBy("_lane", "_unit").agg(F.min(pos).alias("at"), F.count("*").alias("n"))
     folded = units.groupBy("_lane").agg(F.array_sort(F.collect_list(F.struct("at", "n", "_unit"))).alias("u"))
-    chunked = folded.select("_lane", F.explode(F.arrays_zip(F.col("u._unit").alias("unit"), packed_units(F.col("u.n"), limit).alias("chunk"))).alias("z"))
-    return rows.join(chunked.select("_lane", F.col("z.unit").alias("_unit"), F.col("z.chunk").alias(name)), ["_lane", "_unit"]).drop("_lane", "_unit")
+    cut = folded.select("_lane", "u", chunk_starts(F.col("u.n"), limit).alias("starts"))
+    each = cut.select("_lane", "u", "starts", F.posexplode("starts").alias("k", "start"))
+    own = F.slice(F.col("u._unit"), F.col("start") + 1, _next(F.col("starts"), F.col("k"), F.size("u")) - F.col("start"))
+    chunked = each.select("_lane", F.explode(own).alias("_unit"), (F.col("k") + 1).alias(name))
+    return rows.join(chunked, ["_lane", "_unit"]).drop("_lane", "_unit")
 
 
 def chunk_manifest(chunks: DataFrame, earlier: DataFrame, seq: str) -> DataFrame:

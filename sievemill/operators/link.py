@@ -44,6 +44,34 @@ def restore_order(df: DataFrame, positions: DataFrame, key: str, pos: str) -> Da
     return df.join(positions.groupBy(key).agg(F.min(pos).alias("_at")), key, "left").orderBy(F.asc_nulls_last("_at"), key).drop("_at")
 
 
+def in_target_order(df: DataFrame, targets: DataFrame, key: str, pos: str, seq: str) -> DataFrame:
+    """Rows of the targets in their order; of rows that repeat a key the last by ``seq`` wins."""
+    return latest(df, key, seq).join(targets.select(key, F.col(pos).alias("_at")), key).orderBy("_at").drop("_at")
+
+
+def audit_two_columns(df: DataFrame, url: str, evidence: str, pos: str, check) -> DataFrame:
+    """Two address columns checked as one batch of distinct keys: every row with the result of its first address and, with
+    ``evidence_`` before the names, of its second. ``check`` is as in ``fan_out``."""
+    both = df.select(F.col(url).alias("u"), F.col(pos).alias("p"), F.lit(0).alias("s")).union(df.select(evidence, pos, F.lit(1))).withColumn("url_key", urls.url_key(F.col("u")))
+    firsts = both.filter("url_key <> ''").groupBy("url_key").agg(F.min_by("u", F.struct("s", "p")).alias("url"))
+    found = check(firsts)
+    rest = [c for c in found.columns if c != "url_key"]
+    own = df.withColumn("url_key", urls.url_key(F.col(url))).join(found, "url_key", "left").drop("url_key")
+    theirs = found.select("url_key", *[F.col(c).alias(f"evidence_{c}") for c in rest])
+    return own.withColumn("url_key", urls.url_key(F.col(evidence))).join(theirs, "url_key", "left").drop("url_key")
+
+
+def append_columns(df: DataFrame, more: DataFrame, key: str) -> DataFrame:
+    """``df`` with the columns of a table that has a row for just each of its keys; another number of rows or other keys are an error."""
+    n, m = df.count(), more.count()
+    if n != m:
+        raise ValueError(f"{n} rows, but {m} to append")
+    out = df.join(more, key)
+    if out.count() != n:
+        raise ValueError(f"{key} differs")
+    return out
+
+
 def latest(df: DataFrame, key: str, seq: str) -> DataFrame:
     """The last row of each key, nulls in ``seq`` first."""
     rest = [c for c in df.columns if c != key]

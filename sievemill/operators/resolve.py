@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sievemill.functions import tags, urls
 from sievemill.functions import text as X
-from sievemill.functions import urls
 
+from .chunk import global_positions
 from .components import connected_components
 from .link import keys_of_groups
 
 # Names too general to tell a resource by.
+STATEMENT = 20
 GENERIC_NAMES = ["database", "databases", "resource", "resources", "repository", "portal", "website", "webserver"]
+# What a name ends in that says nothing, versions, names in brackets, and leading acronyms.
+ENDING = r"(?:\b(?:database|db)\b\s*)+$"
+VERSION = r"\b(?:version|release|v)\s*\d+(?:\.\d+)*\b"
+BRACKETS = r"\(([^()]{2,40})\)"
+ALIAS = r"^[A-Za-z][A-Za-z0-9_-]{1,15}$"
+ACRONYM = r"^([A-Z][A-Z0-9_-]{1,14})\s*[:\-]"
 # Statuses under which a final address counts as evidence.
 FOLLOWED = ["reachable", "restricted", "continue_required"]
 
@@ -22,8 +29,8 @@ def name_key(c: Column) -> Column:
     """A name in letters and digits, less closing "database" and version numbers; placeholders are empty."""
 
     def of(text: Column) -> Column:
-        short = X.strip(F.regexp_replace(text, r"(?:\b(?:database|db)\b\s*)+$", ""))
-        short = F.regexp_replace(short, r"\b(?:version|release|v)\s*\d+(?:\.\d+)*\b", "")
+        short = X.strip(F.regexp_replace(text, ENDING, ""))
+        short = F.regexp_replace(short, VERSION, "")
         return F.when(text.isin(X.MISSING_NAME), F.lit("")).otherwise(F.regexp_replace(short, "[^a-z0-9]+", ""))
 
     return X.let(F.replace(F.lower(X.clean(c)), F.lit("&"), F.lit(" and ")), of)
@@ -33,8 +40,8 @@ def name_keys(c: Column) -> Column:
     """Keys of a name: all of it, aliases in brackets, and a leading acronym."""
 
     def of(text: Column) -> Column:
-        aliases = F.filter(F.regexp_extract_all(text, F.lit(r"\(([^()]{2,40})\)"), F.lit(1)), lambda a: X.strip(a).rlike(r"^[A-Za-z][A-Za-z0-9_-]{1,15}$"))
-        leading = F.regexp_extract(text, r"^([A-Z][A-Z0-9_-]{1,14})\s*[:\-]", 1)
+        aliases = F.filter(F.regexp_extract_all(text, F.lit(BRACKETS), F.lit(1)), lambda a: X.strip(a).rlike(ALIAS))
+        leading = F.regexp_extract(text, ACRONYM, 1)
         keys = F.transform(F.concat(F.array(text), aliases, F.array(leading)), name_key)
         return F.array_distinct(F.filter(keys, lambda k: (k != "") & ~k.isin(GENERIC_NAMES)))
 
@@ -42,11 +49,17 @@ def name_keys(c: Column) -> Column:
 
 
 def numbered_groups(members: DataFrame, prefix: str) -> DataFrame:
-    """Groups of more than one member, numbered by their smallest: ``group, component, n, members``. The numbering sees a row for
-    each group only."""
-    groups = members.groupBy("component").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("id")).alias("members")).filter("n > 1")
-    number = F.row_number().over(W.orderBy("component"))
-    return groups.select(F.format_string(f"{prefix}_%04d", number).alias("group"), "component", "n", "members")
+    """Groups of more than one member, numbered by their smallest: ``group, component, n``. The numbering sees a row for each group
+    only, and sorts by ranges."""
+    groups = members.groupBy("component").agg(F.count("*").alias("n")).filter("n > 1")
+    return global_positions(groups, ["component"], "number").select(F.format_string(f"{prefix}_%04d", "number").alias("group"), "component", "n")
+
+
+def member_lists(members: DataFrame) -> DataFrame:
+    """``component, members``: one row with the ids of each group, joined by semicolons. For tables that people read; a group has to
+    fit one row."""
+    own = F.array_sort(F.collect_list("id"))
+    return members.groupBy("component").agg(own.alias("m")).filter(F.size("m") > 1).select("component", F.array_join(F.transform("m", lambda i: i.cast("string")), ";").alias("members"))
 
 
 def shared_by_all(keys: DataFrame, members: DataFrame) -> DataFrame:
@@ -56,9 +69,10 @@ def shared_by_all(keys: DataFrame, members: DataFrame) -> DataFrame:
     return held.join(sizes, "component").filter("k = n and n > 1").select("component").distinct()
 
 
-def duplicate_candidates(df: DataFrame, row_id: str, names: Column | None, address: Column | None, prefix: str = "dup") -> DataFrame:
+def duplicate_candidates(df: DataFrame, row_id: str, names: Column | None, address: Column | None, prefix: str = "dup", lists: bool = True) -> DataFrame:
     """Rows that share a name or address key, directly or through others: ``id, group, members, candidate_count, match_basis``. The
-    basis is ``name``, ``url`` or both where all members share such a key, else ``transitive``."""
+    basis is ``name``, ``url`` or both where all members share such a key, else ``transitive``. Without ``lists`` the members are left
+    out, which a group of g rows would hold g times."""
     kinds = {}
     if names is not None:
         kinds["name"] = keys_of_groups(df, row_id, names)
@@ -75,7 +89,9 @@ def duplicate_candidates(df: DataFrame, row_id: str, names: Column | None, addre
         groups = groups.join(shared_by_all(keys, members).withColumn(f"_{kind}", F.lit(True)), "component", "left")
     joined = F.concat_ws(";", *basis)
     groups = groups.withColumn("match_basis", F.when(joined == "", F.lit("transitive")).otherwise(joined))
-    return members.join(groups, "component").select("id", "group", F.array_join(F.transform("members", lambda m: m.cast("string")), ";").alias("members"), F.col("n").alias("candidate_count"), "match_basis")
+    if lists:
+        groups = groups.join(member_lists(members), "component")
+    return members.join(groups, "component").select("id", "group", *(["members"] if lists else []), F.col("n").alias("candidate_count"), "match_basis")
 
 
 def catalog_duplicates(df: DataFrame, audit: DataFrame | None, row_id: str = "id", name: str = "database_name", url: str = "database_url", decision: str = "db_type_confirmation") -> DataFrame:
@@ -92,9 +108,14 @@ def catalog_duplicates(df: DataFrame, audit: DataFrame | None, row_id: str = "id
     return duplicate_candidates(rows, row_id, name_keys(F.col(name)), F.array_distinct(address))
 
 
-def check_decisions(df: DataFrame, group: str = "group", row_id: str = "id", action: str = "action", canonical: str = "canonical", representative: str = "representative") -> DataFrame:
-    """Groups whose decisions contradict themselves: ``group, rule``."""
-    g = df.groupBy(group).agg(F.collect_set(action).alias("actions"), F.collect_set(canonical).alias("names"), F.collect_set(representative).alias("reps"), F.collect_set(row_id).alias("ids"), F.count("*").alias("n"))
+def check_decisions(df: DataFrame, group: str = "group", row_id: str = "id", action: str = "action", canonical: str = "canonical", representative: str = "representative", members: str | None = None, statement: str | None = None) -> DataFrame:
+    """Groups whose decisions contradict themselves: ``group, rule``. ``members``: a column with the group's candidates, which have to be
+    the rows decided on; ``statement``: one with the reason, of at least STATEMENT characters."""
+    declared = F.array_sort(F.array_distinct(tags.split_tags(F.col(members)))) if members else F.lit(None).cast("array<string>")
+    short = F.length(X.clean(F.col(statement))) < STATEMENT if statement else F.lit(False)
+    own = F.col(representative).cast("string") == F.col(row_id).cast("string")
+    df = df.withColumn("_declared", declared).withColumn("_short", short).withColumn("_own", own)
+    g = df.groupBy(group).agg(F.collect_set("_declared").alias("declared"), F.bool_or("_short").alias("short"), F.bool_and("_own").alias("own"), F.array_sort(F.collect_set(F.col(row_id).cast("string"))).alias("texts"), F.collect_set(action).alias("actions"), F.collect_set(canonical).alias("names"), F.collect_set(representative).alias("reps"), F.collect_set(row_id).alias("ids"), F.count("*").alias("n"))
     merge = F.array_contains("actions", "merge")
     rules = {
         "mixed_action": F.size("actions") > 1,
@@ -103,6 +124,10 @@ def check_decisions(df: DataFrame, group: str = "group", row_id: str = "id", act
         "several_representatives": merge & (F.size("reps") > 1),
         "foreign_representative": merge & (F.size(F.array_except("reps", "ids")) > 0),
         "split_needs_own_names": ~merge & (F.size("names") < F.col("n")),
+        "split_represents_itself": ~merge & ~F.coalesce("own", F.lit(False)),
+        "blank_name": merge & F.exists("names", lambda n: X.clean(n) == ""),
+        **({"other_members": (F.size("declared") != 1) | (F.element_at("declared", 1) != F.col("texts"))} if members else {}),
+        "short_statement": F.col("short"),
     }
     broken = F.filter(F.array(*[F.when(cond, F.lit(rule)) for rule, cond in rules.items()]), lambda r: r.isNotNull())
     return g.select(group, F.explode(broken).alias("rule"))
@@ -136,8 +161,8 @@ def incremental_groups(df: DataFrame, canonical: DataFrame, duplicates: DataFram
     if foreign:
         raise ValueError(f"unknown id: {foreign[0][0]}")
     members = connected_components(both.select(F.col("id").alias("src"), F.col("first_id").alias("dst")).filter("src <> dst"))
-    groups = numbered_groups(members, prefix)
-    return members.join(groups, "component").select("id", "group", F.array_join(F.transform("members", lambda m: m.cast("string")), ";").alias("members"))
+    groups = numbered_groups(members, prefix).join(member_lists(members), "component")
+    return members.join(groups, "component").select("id", "group", "members")
 
 
 def single_representatives(df: DataFrame, group: str, canonical: str, representative: str, row_id: str) -> DataFrame:
@@ -146,3 +171,45 @@ def single_representatives(df: DataFrame, group: str, canonical: str, representa
     g = df.groupBy(key.alias("group_key"), F.col(canonical).alias("canonical")).agg(F.collect_set(row_id).alias("ids"), F.collect_set(representative).alias("reps"))
     ok = (F.size("reps") == 1) & (F.size(F.array_except("reps", "ids")) == 0)
     return g.select("group_key", "canonical", F.size("ids").alias("n"), ok.alias("valid"))
+
+
+def apply_incremental(final: DataFrame, decisions: DataFrame, row_id: str = "id", flag: str = "original48") -> tuple[DataFrame, DataFrame]:
+    """Final rows after decisions on the groups found among them, and an audit row for each group: ``canonical, representative,
+    member_ids, removed_ids, member_count, action``. ``decisions``: ``group, id, action, canonical, representative``. Contradicting
+    decisions are an error, and so are duplicates that then remain without a decision to split just these members."""
+    broken = check_decisions(decisions).orderBy("group", "rule").limit(1).collect()
+    if broken:
+        raise ValueError(f"{broken[0].group}: {broken[0].rule}")
+    merged = decisions.filter("action = 'merge' and id <> representative").select("id", "representative")
+    kept, _ = apply_merges(final, merged, row_id, flag)
+    order = lambda c: F.array_join(F.array_sort(c), ";")
+    gone = F.collect_list(F.when((F.col("action") == "merge") & (F.col("id") != F.col("representative")), F.col("id")))
+    audit = decisions.groupBy("group", "action").agg(
+        F.first("canonical").alias("canonical"), F.min(F.when(F.col("action") == "merge", F.col("representative"))).alias("representative"), order(F.collect_set("id")).alias("member_ids"), order(gone).alias("removed_ids"), F.countDistinct("id").alias("member_count")
+    )
+    left = catalog_duplicates(kept, None, row_id)
+    split = audit.filter("action = 'split'").select(F.col("member_ids").alias("members"))
+    if not unresolved(left, split).isEmpty():
+        raise ValueError("unresolved duplicates remain after the decisions")
+    return kept, audit
+
+
+def canonical_groups(reviewed: DataFrame, row_id: str = "id", group: str = "group", members: str = "members", canonical: str = "canonical", representative: str = "representative", flag: str = "original48") -> DataFrame:
+    """Reviewed rows by candidate group (or row) and canonical name: ``group_key, canonical, representative, member_ids, removed_ids,
+    member_count, flag, rule``. The rule names what contradicts: members outside a candidate group, several representatives, or one
+    that is no member; it is null for a good group."""
+    text = lambda c: X.clean(F.col(c).cast("string"))
+    key = F.coalesce(F.when(text(group) != "", text(group)), F.concat(F.lit("row:"), text(row_id)))
+    g = reviewed.groupBy(key.alias("group_key"), text(canonical).alias("canonical")).agg(
+        F.array_sort(F.collect_set(text(row_id))).alias("ids"),
+        F.collect_set(text(representative)).alias("reps"),
+        F.collect_set(F.array_sort(tags.split_tags(F.col(members)))).alias("allowed"),
+        F.bool_or(F.lower(text(flag)) == "yes").alias("any"),
+    )
+    rule = (
+        F.when(F.exists("allowed", lambda a: F.size(F.array_except("ids", a)) > 0), F.lit("outside its candidate group"))
+        .when(F.size("reps") != 1, F.lit("several representatives"))
+        .when(~F.array_contains("ids", F.element_at("reps", 1)), F.lit("representative is no member"))
+    )
+    one = F.element_at(F.array_sort("reps"), 1)
+    return g.select("group_key", "canonical", one.alias("representative"), F.array_join("ids", ";").alias("member_ids"), F.array_join(F.array_remove("ids", one), ";").alias("removed_ids"), F.size("ids").cast("long").alias("member_count"), F.when(F.col("any"), F.lit("yes")).otherwise(F.lit("no")).alias("flag"), rule.alias("rule"))

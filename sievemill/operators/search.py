@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from sievemill.functions import tags
 from sievemill.functions import text as X
 
+from .chunk import global_positions
+
 PREVIEW = 50
 COLLECTION = "main_collection"
 
@@ -90,9 +92,12 @@ def search(df: DataFrame, request: Request, metadata: DataFrame | None = None, p
 def facets(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column_name, tag, position, preview, n_more``: distinct tags of each column by lower case, the first 50 for the preview."""
     rows = reduce(DataFrame.union, [df.select(F.lit(c).alias("column_name"), F.explode(tags.split_tags(F.col(c))).alias("tag")) for c in columns]).distinct()
-    lists = rows.groupBy("column_name").agg(F.array_sort(F.collect_list(F.struct(F.lower("tag").alias("low"), "tag"))).alias("all"))
-    each = lists.select("column_name", F.greatest(F.size("all") - PREVIEW, F.lit(0)).alias("n_more"), F.posexplode("all").alias("p", "t"))
-    return each.select("column_name", "t.tag", (F.col("p") + 1).alias("position"), (F.col("p") < PREVIEW).alias("preview"), "n_more")
+    # all columns' tags are numbered in one order by ranges; a column's own numbers follow from where it begins
+    placed = global_positions(rows.withColumn("low", F.lower("tag")), ["column_name", "low", "tag"], "at")
+    spans = placed.groupBy("column_name").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    own = (F.col("at") - F.col("first") + 1).cast("int")
+    each = placed.join(spans, "column_name").withColumn("position", own)
+    return each.select("column_name", "tag", "position", (F.col("position") <= PREVIEW).alias("preview"), F.greatest(F.col("n") - PREVIEW, F.lit(0)).cast("int").alias("n_more"))
 
 
 def access_label(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemill.functions import tags
+from sievemill.functions import text as X
 
 
 def share(n: Column, total: int | Column) -> Column:
@@ -119,3 +120,17 @@ def fill_dimension(df: DataFrame, pos: str, layouts: list[dict[str, str]]) -> Da
 def rounded(df: DataFrame) -> DataFrame:
     """Shares with one decimal, halves to even."""
     return df.withColumn("pct", F.bround("pct", 1))
+
+
+def yes_no_labels(df: DataFrame, column: str, yes: str = "Available", no: str = "Not available") -> DataFrame:
+    """The table with ``label`` for a column of yes and no; any other value is an error."""
+    value = F.lower(X.collapse(F.coalesce(F.col(column).cast("string"), F.lit(""))))
+    bad = df.select(value.alias("v")).filter(~F.col("v").isin("yes", "no")).distinct().orderBy("v").limit(5).collect()
+    if bad:
+        raise ValueError(f"{column} has other values: {', '.join(r.v or '<blank>' for r in bad)}")
+    return df.withColumn("label", F.when(value == "yes", F.lit(yes)).otherwise(F.lit(no)))
+
+
+def live_or_dead(c: Column) -> Column:
+    """Live for yes and live, Dead for anything else."""
+    return F.when(F.lower(X.collapse(F.coalesce(c.cast("string"), F.lit("")))).isin("yes", "live"), F.lit("Live")).otherwise(F.lit("Dead"))

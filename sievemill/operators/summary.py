@@ -99,3 +99,15 @@ def term_frequencies(df: DataFrame, terms: Column, top: int = 20) -> DataFrame:
 
 def repeated_references(edges: DataFrame, least: int = 2) -> DataFrame:
     return edges.groupBy("ref_source", "ref_id").agg(F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "ref_source", "ref_id")
+
+
+def class_histogram(df: DataFrame, column: str = "AI_class") -> DataFrame:
+    """``value, n`` in the order of values, nulls kept and last."""
+    number = F.col("value").try_cast("double")
+    return histogram(df, column).orderBy(number.asc_nulls_last(), F.asc_nulls_last("value"))
+
+
+def final_histograms(df: DataFrame, columns: tuple[str, ...] = ("accessibility", "db_type_confirmation", "neural_link", "evidence_source_type")) -> DataFrame:
+    """``metric, value, n``: how often each value of the columns occurs, from one pass over the table."""
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(F.explode(cells).alias("c")).groupBy("c.metric", "c.value").agg(F.count("*").alias("n"))

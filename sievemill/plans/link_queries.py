@@ -34,12 +34,12 @@ def benchmark_priority(spark, sf):
 
 @query(
     """
-WITH u AS (SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber < 4), p AS (SELECT p_partkey, p_retailprice FROM part WHERE p_partkey % 3 <> 0)
+WITH u AS (SELECT l_orderkey, l_partkey FROM lineitem), p AS (SELECT p_partkey, p_retailprice FROM part WHERE p_partkey % 3 <> 0)
 SELECT o_orderkey, max(p_retailprice) AS best FROM orders LEFT JOIN u ON l_orderkey = o_orderkey LEFT JOIN p ON l_partkey = p_partkey GROUP BY o_orderkey
 """
 )
 def citation_max(spark, sf):
-    cells = table(spark, sf, "lineitem").filter("l_linenumber < 4").groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))), ";").alias("cell"))
+    cells = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))), ";").alias("cell"))
     rows = table(spark, sf, "orders").select("o_orderkey").join(cells, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     cache = table(spark, sf, "part").filter("p_partkey % 3 <> 0").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("key"), "p_retailprice")
     cell = F.split(F.coalesce("cell", F.lit("")), ";")
@@ -49,11 +49,11 @@ def citation_max(spark, sf):
 @query(
     """
 SELECT o.o_orderkey AS seed, count(*) AS n_edges, count(DISTINCT l.l_partkey) AS n_targets, CAST(sum(p.p_size) AS BIGINT) AS total_size
-FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey WHERE o.o_orderkey % 10 = 0 GROUP BY 1
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey GROUP BY 1
 """
 )
 def citation_expansion(spark, sf):
-    seeds = table(spark, sf, "orders").filter("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("seed_pmid"))
+    seeds = table(spark, sf, "orders").select(F.col("o_orderkey").alias("seed_pmid"))
     edges = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("seed_pmid"), F.lit("MED").alias("ref_source"), F.col("l_partkey").alias("ref_id"))
     details = table(spark, sf, "part").select(F.lit("MED").alias("ref_source"), F.col("p_partkey").alias("ref_id"), "p_size")
     out = link.citation_expansion(seeds, edges, details)
@@ -181,11 +181,12 @@ WITH RECURSIVE n AS (SELECT s_suppkey AS id, s_suppkey % 40 AS a, CASE WHEN s_su
 e AS (SELECT x.id AS u, y.id AS v FROM n x JOIN n y ON x.a = y.a OR x.b = y.b),
 r AS (SELECT id AS u, id AS v FROM n UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.v),
 c AS (SELECT u AS id, min(v) AS component FROM r GROUP BY u),
-g AS (SELECT component, count(*) AS n, string_agg(CAST(id AS VARCHAR), ';' ORDER BY id) AS members, dense_rank() OVER (ORDER BY component) AS k FROM c GROUP BY component HAVING count(*) > 1)
+g AS (SELECT component, count(*) AS n, string_agg(CAST(id AS VARCHAR), ';' ORDER BY id) AS members, dense_rank() OVER (ORDER BY component) AS k,
+  count(DISTINCT a) = 1 AS by_name, count(b) = count(*) AND count(DISTINCT b) = 1 AS by_url FROM c JOIN n USING (id) GROUP BY component HAVING count(*) > 1)
 """
 
 
-@query(_GRAPH + "SELECT c.id, 'dup_' || lpad(CAST(g.k AS VARCHAR), 4, '0') AS \"group\", g.members, g.n AS candidate_count FROM c JOIN g USING (component)")
+@query(_GRAPH + "SELECT c.id, 'dup_' || lpad(CAST(g.k AS VARCHAR), 4, '0') AS \"group\", g.members, g.n AS candidate_count, CASE WHEN by_name AND by_url THEN 'name;url' WHEN by_name THEN 'name' WHEN by_url THEN 'url' ELSE 'transitive' END AS match_basis FROM c JOIN g USING (component)")
 def duplicate_components(spark, sf):
     k = F.col("s_suppkey")
     rows = table(spark, sf, "supplier").select(
@@ -194,7 +195,7 @@ def duplicate_components(spark, sf):
         F.when(k % 3 == 0, F.concat(F.lit("http://www.example.org/"), k % 7, F.lit("/#x"))).otherwise(F.lit("none")).alias("database_url"),
         F.when(k % 2 == 1, F.lit("YES")).otherwise(F.lit("no")).alias("db_type_confirmation"),
     )
-    return resolve.catalog_duplicates(rows, None).select("id", "group", "members", "candidate_count")
+    return resolve.catalog_duplicates(rows, None).select("id", "group", "members", "candidate_count", "match_basis")
 
 
 @query(

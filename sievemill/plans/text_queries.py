@@ -66,7 +66,7 @@ def candidate_funnel(spark, sf):
         .union(talks.select("text", F.lit("conversation"), F.lit(1), F.col("conv_id") * 1000 + F.col("turn")))
         .union(bench.select("text", F.lit("benchmark"), F.lit(2), F.col("item_id")))
     )
-    firsts = dedup.keep_first(pool, X.title_key(F.col("text")), [F.col("side"), F.col("pos"), F.col("source")])
+    firsts = dedup.keep_first(pool, X.title_key(F.col("text")), [], ["side", "pos", "source"])
     passes = (F.size(screen.matched_terms(F.col("text"), RESOURCE)) > 0) & (F.size(screen.matched_terms(F.col("text"), SCOPE)) > 0)
     return firsts.groupBy("source").agg(F.count("*").alias("n_candidates"), F.count_if(passes).alias("n_screened"))
 

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+from .shared_tables import exists
 
 
 def read_csv_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A CSV file with a header, all cells as texts, empty for null; a missing file has no rows."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     found = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False, encoding="UTF-8")
     return found.select(*[(F.col(f"`{c}`") if c in found.columns else F.lit(None)).cast("string").alias(c) for c in columns]).fillna("")
@@ -42,7 +41,7 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 def snapshot(df: DataFrame, path: str) -> str:
     """Write once: an existing snapshot is left as it is. The digest of its rows, whatever their order, in upper case."""
     spark = df.sparkSession
-    if not _exists(spark, path):
+    if not exists(spark, path):
         df.write.parquet(path)
     rows = spark.read.parquet(path)
     row = F.sha2(F.to_json(F.struct(*rows.columns)), 256)
@@ -61,6 +60,26 @@ def link_cells(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.explode(F.filter(cells, lambda x: x.url.rlike(r"(?i)^https?://\S+$"))).alias("c")).select("c.*")
 
 
+def write_excel(df: DataFrame, path: str, links: tuple[str, ...] = (), sheet: str = "Sheet1") -> None:
+    """A small table as a workbook, written by the driver; needs openpyxl. Addresses are texts, but for those in the columns ``links``,
+    which are links as well."""
+    try:
+        import openpyxl
+    except ImportError as e:
+        raise NotImplementedError("writing xlsx needs openpyxl; use CSV or Parquet") from e
+    book = openpyxl.Workbook()
+    page = book.active
+    page.title = sheet
+    page.append(df.columns)
+    for row in df.toLocalIterator():
+        page.append(["" if v is None else v for v in row])
+        for k, c in enumerate(df.columns, 1):
+            cell = page.cell(page.max_row, k)
+            if c in links and re.match(r"(?i)^https?://\S+$", str(cell.value)):
+                cell.hyperlink = str(cell.value)
+    book.save(path)
+
+
 def read_excel(spark: SparkSession, path: str, sheet: str | int = 0, as_text: bool = False) -> DataFrame:
     """A workbook's sheet, read on the driver; needs an xlsx engine of pandas. ``as_text``: nothing is inferred, null is empty."""
     try:

@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Paths written within the scopes that are open, the innermost last.
 _SCOPES: list[list[str]] = []
+#: Paths that no scope deletes: results may still read them until the driver ends.
+_LEFT: list[str] = []
+
+
+@atexit.register
+def _remove_left() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with suppress(Exception):
+            remove(spark, *_LEFT)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,8 +43,7 @@ def is_local(master: str) -> bool:
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    (_SCOPES[-1] if _SCOPES else _LEFT).append(path)
     return path
 
 
@@ -100,7 +110,7 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         system, p = _file(spark, path)
         system.delete(p, True)
-        for made in _SCOPES:
+        for made in [*_SCOPES, _LEFT]:
             if path in made:
                 made.remove(path)
 
@@ -122,5 +132,4 @@ def only(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]
     finally:
         _SCOPES.remove(made)
         remove(spark, *[p for p in made if p not in kept])
-        if _SCOPES:
-            _SCOPES[-1].extend(kept)
+        (_SCOPES[-1] if _SCOPES else _LEFT).extend(kept)
