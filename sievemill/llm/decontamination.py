@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from . import pieces
 from .ngrams import Words
-from .shared import exists, groups_of, new_path, ragged, remove, text_views, written
+from .shared import exists, groups_of, new_path, ragged, remove, text_views, trimmed, written
 
 #: 1: the token counts; 0: any token.
 MASKS = ("1111", "10111", "11011", "11101", "1", "11", "111")
@@ -45,11 +45,11 @@ SHORTEST = 5
 COST = 4
 BLOCK_TOKENS = 1_000_000
 TABLE_BITS = 22
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Hits of a text and an item for each of their tokens from which all diagonals are compared instead.
 REPEATED = 4
 #: Hits that are listed at once, and cells of diagonals that are compared at once.
-HITS, CELLS = 1 << 20, 1 << 20
+HITS, CELLS = 1 << 18, 1 << 18
 
 _OFFSETS = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
 _FACTORS = np.random.default_rng(6).integers(0, 1 << 63, (len(MASKS), 16), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -242,6 +242,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
 
 
 def _leaks(block: Block):
+    @trimmed
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             _, offsets = text_views(batch.column(1))
@@ -282,6 +283,7 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             if earlier:
                 remove(documents.sparkSession, earlier)
 
+        @trimmed
         def keep(found: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in found:
                 column = batch.column(batch.schema.get_field_index("text"))

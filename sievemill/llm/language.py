@@ -23,17 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .ngrams import Words
-from .shared import groups_of, text_views
+from .shared import groups_of, text_views, trimmed
 from .toxicity import append_column, held_out
 
 GRAM = 3
 BITS = 15
 SMOOTHING = 0.5
 ROUNDS = 8
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 UNDETERMINED = "und"
 
 
+@trimmed
 def _counts(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-gram counts of each language in a partition."""
     sums: dict[str, np.ndarray] = {}

@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 from sievemill.operators.chunk import global_positions
 from sievemill.operators.components import connected_components
 
-from .shared import groups_of, only, remove, text_views, written
+from .shared import groups_of, only, remove, text_views, trimmed, written
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -62,13 +62,13 @@ ASKED = (8, None)
 REGION = 512
 #: Links from which a class is compared with all of a longer run, and how many such classes are compared at once.
 SATURATED, HUBS = 24, 64
-#: Sketch comparisons of a crowded run made at once.
-CELLS = 1 << 21
+#: Sketch comparisons of a crowded run made at once, and those of them that go on to wide sketches.
+CELLS, WIDE = 1 << 18, 1 << 14
 #: Sketched similarity below which a candidate is dropped: more than four deviations under the threshold.
 LEAST = 0.55
 #: Bins of the wide sketch that is compared in crowded runs, and the deviations under the threshold below which a pair is dropped.
 BINS, DEVIATIONS = 1024, 4.5
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Bits of a table that drops rows where they are read: sixteen for each id, within these powers of two.
 TABLE_BITS = (20, 28)
 
@@ -184,6 +184,7 @@ def _may_be_linked(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, others: np.n
     return share, share >= least - DEVIATIONS * np.sqrt(spread) / either
 
 
+@trimmed
 def _scan(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set size, digest of the set, and signature with sketch of each text."""
     for batch in found:
@@ -278,6 +279,7 @@ class _Sorted:
 def _neighbours(across: bool = False):
     """Candidate pairs within a sorted partition and the crowded runs' tree and first value, then the rows at its edges."""
 
+    @trimmed
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = None if across else TaskContext.get().partitionId()
         rows, n, kept = _Sorted(), 0, 0
@@ -350,7 +352,7 @@ class _Region:
         ids, sizes, late = self.ids, self.sizes, self.following
         largest = own == counts.argmax()
         words, more = np.ascontiguousarray(self.sketches).view(np.uint64), np.ascontiguousarray(self.wide).view(np.uint64)
-        step = max(1, CELLS // (8 * len(ids)))
+        step = max(1, CELLS // len(ids))
         asks = np.flatnonzero(~largest)
         for i in range(0, len(asks), step):
             q = asks[i : i + step]
@@ -360,7 +362,8 @@ class _Region:
             # a pair of two that ask comes from the first of them
             once = largest[column] | (q[row] < column) if most is None else np.ones(len(row), bool)
             row, column = row[once], column[once]
-            share, good = _may_be_linked(more[q[row]], more[column], sizes[q[row]], sizes[column])
+            found = [_may_be_linked(more[q[r]], more[c], sizes[q[r]], sizes[c]) for r, c in ((row[k : k + WIDE], column[k : k + WIDE]) for k in range(0, len(row), WIDE))]
+            share, good = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind) for k, kind in ((0, float), (1, bool)))
             good[good] = ~self.met_before(q[row[good]], column[good])
             row, column, share = row[good], column[good], share[good]
             cut = np.zeros(0, np.int64)
@@ -376,6 +379,7 @@ class _Region:
 def _crowd(most: int | None):
     """The pairs of ``_Region.apart`` of each region of rows sorted by it."""
 
+    @trimmed
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[_Region] = []
         key = None
@@ -394,6 +398,7 @@ def _crowd(most: int | None):
     return run
 
 
+@trimmed
 def _against_hubs(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each ``id, component, sketch, size`` with those of the ``hubs`` beside it."""
     for batch in found:
@@ -429,6 +434,7 @@ class _Sets:
         return found
 
 
+@trimmed
 def _confirm(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sets = _Sets()
     for batch in found:
@@ -569,6 +575,7 @@ def joined_crowds(docs: DataFrame, crowded: DataFrame, classes: DataFrame, pairs
 def _where(table: np.ndarray, marked: bool):
     """Rows whose last column, a place in the bit table, is marked, or those where it is not; without that column."""
 
+    @trimmed
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             last = batch.num_columns - 1

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pieces
-from .shared import groups_of, ragged, text_views
+from .shared import groups_of, ragged, text_views, trimmed
 
 CAPACITY = 2048
 CLOSING = 1
@@ -134,6 +134,7 @@ def decomposed(tokens: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray
 
 
 def _pack(path: str, capacity: int, closing: int):
+    @trimmed
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("bucket", pa.int32()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 from sievemill.sources.shared_tables import exists, new_path, only, remove, shared_dir, written
 
-__all__ = ["exists", "free_name", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "written"]
+__all__ = ["exists", "free_name", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "trimmed", "written"]
 
 
 def free_name(columns: list[str], wanted: str) -> str:
@@ -20,6 +23,22 @@ def free_name(columns: list[str], wanted: str) -> str:
     return wanted
 
 
+def trimmed(run: Callable) -> Callable:
+    """A generator that gives memory back when it ends: Python workers live on and serve other stages beside the JVM."""
+
+    @functools.wraps(run)
+    def inner(*args):
+        try:
+            yield from run(*args)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return inner
+
+
 def text_views(column: pa.Array | pa.ChunkedArray) -> tuple[memoryview, np.ndarray]:
     """UTF-8 bytes of a string column and its n + 1 offsets; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

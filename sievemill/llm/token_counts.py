@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pieces
-from .shared import groups_of, text_views
+from .shared import groups_of, text_views, trimmed
 
 LIMIT = 2048
 KEPT = 1_000_000
@@ -145,6 +145,7 @@ class Counter:
 
 
 def _count(path: str):
+    @trimmed
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
         for batch in found:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .ngrams import Words
-from .shared import groups_of, text_views
+from .shared import groups_of, text_views, trimmed
 
 GRAMS = (3, 4, 5, 6)
 BITS = 16
@@ -38,7 +38,8 @@ FULL = 60
 PER_CLASS = 1500
 SAMPLE_BYTES = 8192
 THRESHOLD = 0.3
-SEGMENT = 1 << 20
+#: Bytes of texts that are worked on at once: n-grams take some hundred times their memory.
+SEGMENT = 1 << 18
 
 
 def held_out(doc_id: Column) -> Column:
@@ -175,6 +176,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     return fit([r.text for r in rows], toxic, n_toxic / n)
 
 
+@trimmed
 def append_column(found: Iterator[pa.RecordBatch], text: str, names: list[str], compute) -> Iterator[pa.RecordBatch]:
     """Each batch with the columns that ``compute(texts)`` gives, texts taken in groups of bounded size."""
     for batch in found:
