@@ -10,7 +10,9 @@ from sievemill.operators import chunk, dedup, link, resolve, search, stats, summ
 
 from .registry import query, table
 
-_KEY = F.col("o_orderkey")
+def _key():
+    return F.col("o_orderkey")
+
 
 
 @query("SELECT CAST(c_custkey % 50 AS VARCHAR) AS pmid, min(c_custkey) AS pos FROM customer WHERE c_custkey % 7 <> 0 GROUP BY 1")
@@ -32,7 +34,7 @@ _IDS = "WITH d AS (SELECT o_orderkey AS p, CASE WHEN o_orderkey % 11 = 0 THEN ''
 
 @query(_IDS + " SELECT p AS row_pos, id, 'is blank' AS rule FROM d WHERE id = '' UNION ALL SELECT p, d.id, 'is a duplicate; first seen at Excel row ' || (first + 2) FROM d JOIN f USING (id) WHERE p > first")
 def id_violations(spark, sf):
-    rows = table(spark, sf, "orders").select(_KEY.alias("p"), F.when(_KEY % 11 == 0, F.lit(" ")).otherwise((_KEY % 5000).cast("string")).alias("id"))
+    rows = table(spark, sf, "orders").select(_key().alias("p"), F.when(_key() % 11 == 0, F.lit(" ")).otherwise((_key() % 5000).cast("string")).alias("id"))
     return validate.id_violations(rows, "p", "id").select("row_pos", "id", "rule")
 
 
@@ -47,9 +49,9 @@ UNION ALL SELECT o_orderkey, 'words', 'forbidden separator' FROM orders WHERE o_
 """
 )
 def loader_violations(spark, sf):
-    pick = lambda n, bad, good: F.when(_KEY % n == 0, F.lit(bad)).otherwise(good if not isinstance(good, str) else F.lit(good))
+    pick = lambda n, bad, good: F.when(_key() % n == 0, F.lit(bad)).otherwise(good if not isinstance(good, str) else F.lit(good))
     rows = table(spark, sf, "orders").select(
-        _KEY, pick(3, "https:///x", "HTTPS://a.org/x").alias("url"), pick(5, "10.1/x", "10.1000/x;10.1000/y").alias("doi"), pick(7, "12a", F.col("o_totalprice").cast("string")).alias("price"),
+        _key(), pick(3, "https:///x", "HTTPS://a.org/x").alias("url"), pick(5, "10.1/x", "10.1000/x;10.1000/y").alias("doi"), pick(7, "12a", F.col("o_totalprice").cast("string")).alias("price"),
         pick(17, "many", " ").alias("cited"), pick(11, "maybe", "Yes").alias("flag"), pick(13, "a, b", "a;b").alias("words"),
     )
     kinds = {"url": "t-word-url", "doi": "t-word-doi", "price": "t-numeric", "cited": "t-numeric-cite", "flag": "t-bool", "words": "t-word-tag"}
@@ -89,7 +91,7 @@ def _curated(spark, sf):
         "cell_type": "unknown", "sequencing_resolution": "bulk", "read_technology": "short", "visualization_methods": "browser", "original48": "no",
     }
     broken = {1: ("species", " "), 2: ("confirmation_reason", "x" * 81), 3: ("read_technology", "short;long"), 4: ("disease_association", "Unclear"), 5: ("species", "none;human"), 6: ("cell_type", "Various cell types"), 7: ("qualification_basis", "splicing_event;splicing_event"), 8: ("evidence_checked_date", "2026-02-30"), 9: ("focus", "transcriptomics_general"), 10: ("db_type_confirmation", "no")}
-    which = _KEY % 12
+    which = _key() % 12
     out = {}
     for c, value in good.items():
         e = F.lit(value)
@@ -97,7 +99,7 @@ def _curated(spark, sf):
             if column == c:
                 e = F.when(which == k, F.lit(bad)).otherwise(e)
         out[c] = e
-    return table(spark, sf, "orders").select(_KEY.alias("pos"), _KEY.alias("id"), *[e.alias(c) for c, e in out.items()])
+    return table(spark, sf, "orders").select(_key().alias("pos"), _key().alias("id"), *[e.alias(c) for c, e in out.items()])
 
 
 @query(
@@ -128,7 +130,7 @@ UNION ALL SELECT o_orderkey, 'review statement too short' FROM orders WHERE o_or
 """
 )
 def final_review_violations(spark, sf):
-    k = _KEY
+    k = _key()
     rows = table(spark, sf, "orders").select(
         k.alias("pos"), k.alias("id"), F.when(k % 3 == 0, F.lit("dead")).otherwise(F.lit("live")).alias("accessibility"), F.when(k % 3 == 1, F.lit("publication")).otherwise(F.lit("official_database")).alias("evidence_source_type"),
         F.lit("yes").alias("db_type_confirmation"), F.lit("splicing_event").alias("qualification_basis"), F.lit("not_applicable").alias("exclusion_code"), F.lit("no").alias("manual_review_needed"), F.lit("as_focused").alias("focus"),
@@ -278,7 +280,7 @@ def yes_no_breakdown(spark, sf):
 
 @query("SELECT l_orderkey, max(l_linenumber) AS l_linenumber FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY l_orderkey")
 def in_target_order(spark, sf):
-    targets = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), (-_KEY).alias("at"))
+    targets = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), (-_key()).alias("at"))
     return link.in_target_order(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), targets, "l_orderkey", "at", "l_linenumber")
 
 
