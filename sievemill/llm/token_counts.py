@@ -126,8 +126,9 @@ class Counter:
 
     def count(self, texts: list[str]) -> np.ndarray:
         """The number of tokens of each text."""
-        if any(self.cuts.search(t) for t in texts):
-            parts = [self.cuts.split(t) for t in texts]
+        raw = "".join(texts)
+        parts = [self.cuts.split(t) for t in texts] if any(s in raw for s in self.special) else []
+        if any(len(p) > 1 for p in parts):
             sizes = np.array([len(p) for p in parts])
             counts = self.count([p for own in parts for p in own])
             return np.add.reduceat(counts, np.cumsum(sizes) - sizes) + sizes - 1
