@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,9 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.token_bytes = np.zeros(1 + max(vocabulary.values()), np.int64)  # a character of a byte-level token is a byte
+        self.token_bytes[np.fromiter(vocabulary.values(), np.int64, len(vocabulary))] = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary))
         self.kept = kept
         self._clear()
 
@@ -55,12 +59,24 @@ class Encoder:
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, found: np.ndarray, words: list[str]) -> None:
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens in a row, and how many each has: all go to the library as one split text, and the bytes that the
+        ids stand for tell where a pre-token ends. Where they don't fit the pre-tokens, each is encoded for itself."""
+        flat = np.array(self.library.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy().astype(np.int64))
+        reached = np.cumsum(self.token_bytes[flat])
+        at = np.searchsorted(reached, ends)
+        if len(flat) and at[-1] == len(flat) - 1 and (reached[at] == ends).all():
+            return flat.astype(np.uint32), np.diff(at, prepend=-1)
         encoded = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        n, lengths = len(self.known), np.fromiter(map(len, encoded), np.int64, len(words))
+        lengths = np.fromiter(map(len, encoded), np.int64, len(words))
+        return np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum())), lengths
+
+    def _learn(self, found: np.ndarray, words: list[str]) -> None:
+        flat, lengths = self._encoded(words)
+        n = len(self.known)
         while n + len(words) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
