@@ -67,7 +67,9 @@ def violations(df: DataFrame, pos: str, row_id: str, rules: list[Rule]) -> DataF
     if not rules:
         return df.select(F.col(pos).alias("row_pos"), F.col(row_id).cast("string").alias("id")).limit(0).selectExpr("*", "'' AS column", "'' AS rule", "0 AS rule_no", "'' AS value")
     found = [F.when(F.coalesce(broken, F.lit(False)), F.struct(F.lit(i).alias("rule_no"), F.lit(c).alias("column"), F.lit(r).alias("rule"), X.clean(v).alias("value"))) for i, (c, r, broken, v) in enumerate(rules)]
-    each = df.select(F.col(pos).alias("row_pos"), F.col(row_id).cast("string").alias("id"), F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("v"))
+    # a projection of its own: it cleans a cell once for all of its rules, which a generator's argument does not
+    judged = df.select(F.col(pos).alias("row_pos"), F.col(row_id).cast("string").alias("id"), F.array(*found).alias("found"))
+    each = judged.select("row_pos", "id", F.explode(F.filter("found", lambda x: x.isNotNull())).alias("v"))
     return each.select("row_pos", "id", "v.column", "v.rule", "v.rule_no", "v.value")
 
 
