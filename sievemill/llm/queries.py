@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import archives, chat, decontamination, language, licenses, near_dup, packing, token_counts, toxicity, vector_search
+from . import archives, chat, decontamination, filter_audit, fingerprints, language, licenses, near_dup, packing, token_counts, toxicity, vector_codes, vector_search
 
 QUERIES = {
     "op1_pack_power_of_two": packing.op1_pack_power_of_two,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_zip_warc": archives.op9_zip_warc,
     "op10_license_join": licenses.op10_license_join,
+    "op11_fingerprints": fingerprints.op11_fingerprints,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 #: For the others SQL has no form; tests hold them against brute force, the tokenizer library or held-out labels.
@@ -24,4 +27,6 @@ ORACLE_SQL = {
     "op5_chat_snapshots": chat.OP5_SQL,
     "op9_zip_warc": archives.OP9_SQL,
     "op10_license_join": licenses.oracle_sql(),
+    "op12_vector_codes": vector_codes.oracle_sql(),
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
