@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sievemill.functions import text as X
 from sievemill.sources.shared_tables import written
 
+from . import scan
 from .link import latest
 
 
@@ -32,49 +31,20 @@ def fixed_chunks(df: DataFrame, order: list[str], size: int, name: str = "chunk_
 
 
 def run_batches(df: DataFrame, partition: list[str], order: list[str], value: str, size: int) -> DataFrame:
-    """Runs of equal values in order, cut at ``size``: ``run, batch_in_run`` from 0 within each partition."""
-    w = W.partitionBy(*partition).orderBy(*order)
-    change = (~F.col(value).eqNullSafe(F.lag(value).over(w))).cast("int")
-    runs = df.withColumn("_first", F.lag(F.lit(1)).over(w).isNull()).withColumn("_c", F.when(F.col("_first"), 0).otherwise(change)).withColumn("run", F.sum("_c").over(w))
-    place = F.row_number().over(W.partitionBy(*partition, "run").orderBy(*order))
-    return runs.withColumn("batch_in_run", F.floor((place - 1) / size)).drop("_first", "_c")
-
-
-def packed_units(sizes: Column, limit: int) -> Column:
-    """Chunk of each unit of an array of sizes: units go together until a chunk has ``limit`` rows or the next would pass it; a
-    unit that is larger stands alone."""
-    return X.let(chunk_starts(sizes, limit), lambda starts: F.flatten(F.transform(starts, lambda s, k: F.array_repeat(k + 1, (_next(starts, k, F.size(sizes)) - s).cast("int")))))
-
-
-def chunk_starts(sizes: Column, limit: int) -> Column:
-    """The place, from 0, of each chunk's first unit. Only starts are gathered, so a long fold copies a short array now and then."""
-    state = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("rows"), F.array().cast("array<int>").alias("starts"))
-
-    def step(s: Column, n: Column) -> Column:
-        fits = (s.rows > 0) & (s.rows + n <= limit)
-        rows = F.when(fits, s.rows + n).otherwise(n.cast("long"))
-        starts = F.when(fits, s.starts).otherwise(F.concat(s.starts, F.array(s.at)))
-        return F.struct((s.at + 1).alias("at"), F.when(rows >= limit, F.lit(0).cast("long")).otherwise(rows).alias("rows"), starts.alias("starts"))
-
-    return F.aggregate(sizes, state, step, lambda s: s.starts)
-
-
-def _next(starts: Column, k: Column, end: Column) -> Column:
-    return F.coalesce(F.try_element_at(starts, (k + 2).cast("int")), end)
+    """Runs of equal values in order, cut at ``size``: ``run, batch_in_run`` from 0 within each partition, or over all rows without
+    a partition. A partition may have any number of rows: it is a scan over sorted ranges."""
+    return scan.runs(df, partition, order, value).withColumn("batch_in_run", F.floor((F.col("place") - 1) / size)).drop("place")
 
 
 def atomic_chunks(df: DataFrame, pos: str, group: str, limit: int, lane: Column | None = None, name: str = "chunk_id") -> DataFrame:
-    """Chunks that never part the rows of a group; a group stands where its first member does. Packing is a fold over units in
-    order, by nature sequential: ``lane`` splits the work into lanes that are packed for themselves."""
-    lane = F.lit(0) if lane is None else lane
+    """Chunks that never part the rows of a group; a group stands where its first member does. Units go together until a chunk has
+    ``limit`` rows or the next would pass it; a larger one stands alone. Without a lane the chunks go over one order of all rows, else
+    over each lane's for itself; both are a scan over sorted ranges."""
+    text = F.lit("") if lane is None else lane.cast("string")
     unit = F.coalesce(F.when(F.col(group) != "", F.concat(F.lit("g:"), F.col(group).cast("string"))), F.concat(F.lit("r:"), F.col(pos).cast("string")))
-    rows = df.withColumn("_unit", unit).withColumn("_lane", lane)
-    units = rows.groupBy("_lane", "_unit").agg(F.min(pos).alias("at"), F.count("*").alias("n"))
-    folded = units.groupBy("_lane").agg(F.array_sort(F.collect_list(F.struct("at", "n", "_unit"))).alias("u"))
-    cut = folded.select("_lane", "u", chunk_starts(F.col("u.n"), limit).alias("starts"))
-    each = cut.select("_lane", "u", "starts", F.posexplode("starts").alias("k", "start"))
-    own = F.slice(F.col("u._unit"), F.col("start") + 1, _next(F.col("starts"), F.col("k"), F.size("u")) - F.col("start"))
-    chunked = each.select("_lane", F.explode(own).alias("_unit"), (F.col("k") + 1).alias(name))
+    rows = df.withColumn("_unit", unit).withColumn("_lane", F.coalesce(F.concat(F.lit("="), text), F.lit("")))
+    units = rows.groupBy(F.col("_lane").alias("lane"), F.col("_unit").alias("unit")).agg(F.min(pos).alias("at"), F.count("*").alias("n"))
+    chunked = scan.packed(units, limit).select(F.col("lane").alias("_lane"), F.col("unit").alias("_unit"), F.col("chunk").cast("int").alias(name))
     return rows.join(chunked, ["_lane", "_unit"]).drop("_lane", "_unit")
 
 
@@ -95,6 +65,5 @@ def merge_chunks(frames: list[DataFrame], row_id: str) -> DataFrame:
 
 
 def forward_fill(df: DataFrame, partition: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """The last value there was, within each partition."""
-    w = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in columns else F.col(c) for c in df.columns])
+    """The last value there was, within each partition, or over all rows without one."""
+    return scan.forward_fill(df, partition, order, columns)

@@ -109,7 +109,7 @@ def fill_dimension(df: DataFrame, pos: str, layouts: list[dict[str, str]]) -> Da
     if not fits:
         raise ValueError("no known layout")
     named = df.select(pos, *[F.col(a).alias(b) for a, b in fits[0].items()])
-    filled = forward_fill(named.withColumn("_all", F.lit(0)), ["_all"], [pos], ["major_code", "major_label"]).drop("_all")
+    filled = forward_fill(named, [], [pos], ["major_code", "major_label"])
     out = filled.dropna(subset=["major_code", "major_label", "code", "sub_label"])
     twice = out.groupBy("code").count().filter("count > 1").limit(1).collect()
     if twice:

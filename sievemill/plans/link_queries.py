@@ -174,6 +174,45 @@ def forward_fill(spark, sf):
     return chunk.forward_fill(df, ["o_custkey"], ["o_orderkey"], ["v"])
 
 
+@query(
+    """
+WITH c AS (SELECT event_id, user_id, event_type, CASE WHEN event_type = lag(event_type) OVER w OR lag(event_id) OVER w IS NULL THEN 0 ELSE 1 END AS c FROM events WINDOW w AS (ORDER BY user_id, event_id)),
+r AS (SELECT *, sum(c) OVER (ORDER BY user_id, event_id) AS run FROM c)
+SELECT event_id, CAST(run AS BIGINT) AS run, CAST(floor((row_number() OVER (PARTITION BY run ORDER BY user_id, event_id) - 1) / 2) AS BIGINT) AS batch_in_run FROM r
+"""
+)
+def run_batches_global(spark, sf):
+    out = chunk.run_batches(table(spark, sf, "events").select("user_id", "event_id", "event_type"), [], ["user_id", "event_id"], "event_type", 2)
+    return out.select("event_id", "run", "batch_in_run")
+
+
+@query("SELECT o_orderkey, last_value(v IGNORE NULLS) OVER (ORDER BY o_orderkey) AS v, last_value(d IGNORE NULLS) OVER (ORDER BY o_orderkey) AS d FROM (SELECT o_orderkey, CASE WHEN o_custkey % 50 = 7 THEN o_orderpriority END AS v, CASE WHEN o_custkey % 400 = 9 THEN o_orderdate END AS d FROM orders) x")
+def forward_fill_global(spark, sf):
+    value = lambda n, k, c: F.when(F.col("o_custkey") % n == k, F.col(c))
+    df = table(spark, sf, "orders").select("o_orderkey", value(50, 7, "o_orderpriority").alias("v"), value(400, 9, "o_orderdate").alias("d"))
+    return chunk.forward_fill(df, [], ["o_orderkey"], ["v", "d"])
+
+
+@query(
+    """
+WITH RECURSIVE g AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'r' || doc_id ELSE 'g' || (doc_id % 97) || coalesce(lang, '') END AS unit FROM documents),
+o AS (SELECT unit, count(*) AS n, row_number() OVER (ORDER BY min(doc_id), unit) AS k FROM g GROUP BY unit),
+f AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS chunk, CAST(0 AS BIGINT) AS n_rows
+  UNION ALL
+  SELECT o.k, f.chunk + CASE WHEN f.n_rows = 0 OR f.n_rows + o.n > 25 THEN 1 ELSE 0 END,
+    CASE WHEN f.n_rows = 0 OR f.n_rows + o.n > 25 THEN CASE WHEN o.n >= 25 THEN 0 ELSE o.n END WHEN f.n_rows + o.n = 25 THEN 0 ELSE f.n_rows + o.n END
+  FROM f JOIN o ON o.k = f.k + 1
+)
+SELECT g.doc_id, CAST(f.chunk AS INTEGER) AS chunk_id FROM g JOIN o USING (unit) JOIN f ON f.k = o.k
+"""
+)
+def atomic_chunks_global(spark, sf):
+    group = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("g"), F.col("doc_id") % 97, F.coalesce("lang", F.lit(""))))
+    df = table(spark, sf, "documents").select("doc_id", group.alias("grp"))
+    return chunk.atomic_chunks(df, "doc_id", "grp", 25).select("doc_id", "chunk_id")
+
+
 # ---- resolution
 
 _GRAPH = """

@@ -185,11 +185,6 @@ def test_chunks(spark):
     assert out.filter("pos >= 100 and pos < 200").select("chunk_id").distinct().collect()[0][0] == 2
 
 
-def test_packed_units(spark):
-    df = frame(spark, "s array<int>", ([1, 2, 1, 5, 1, 1, 1],), ([],))
-    assert [r[0] for r in df.select(chunk.packed_units(F.col("s"), 3)).collect()] == [[1, 1, 2, 3, 4, 4, 4], []]
-
-
 def test_groups_stay_together(spark):
     df = spark.createDataFrame([(i, "g" if i in (0, 5, 26) else None) for i in range(27)], "pos int, grp string")
     out = {r.pos: r.chunk_id for r in chunk.atomic_chunks(df, "pos", "grp", 2).collect()}
