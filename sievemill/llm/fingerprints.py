@@ -11,8 +11,9 @@ once, packed with zstandard.
 ``near_documents`` cuts fingerprints into bands. Texts of equal shingle sets are one class before anything else. Each class is
 joined with the smallest class of each of its band values, the pairs are verified by Jaccard similarity on full sets of five-word
 shingles, and components follow. Whoever is not in the component of its band's smallest class is then joined with all the band's
-classes that lie in other components, where a comparison of the fingerprints inside the join keeps what may reach the threshold. No pair
-within a component is formed, and none that shares a band and lies across components is left out.
+classes that lie in other components, where set sizes and a sketch of 1,024 bins, compared inside the join, keep what may reach the
+threshold. No pair within a component is formed, and none that shares a band and lies across components is left out but by the
+sketch, 4.5 deviations under the threshold.
 
 Defined results: null and empty texts, and texts of white space, have the fingerprint of the empty set, whose likeness to one
 another is 1, and belong to no class; documents are in the order of ids, rows that repeat an id in the order of a hash of their
@@ -35,20 +36,19 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.operators.components import connected_components
 
-from .near_dup import SHINGLE, confirmed, shared_ids, texts_of, word_hashes
+from .near_dup import BINS, DEVIATIONS, SHINGLE, THRESHOLD, confirmed, shared_ids, shingle_sets, texts_of, wide_sketch, word_hashes
 from .shared import groups_of, only, ragged, text_views, trimmed, written
 
 HASHES = 64
 BANDS = 16
-#: Places that may differ in a fingerprint's comparison by four bits before a pair is dropped: five deviations beyond the threshold.
-DIFFERENT = 32
-PLANES = 4
 SEGMENT = 1 << 20
+#: Words of a wide sketch: the bins that a set fills, and a bit of each.
+WORDS = 2 * BINS // 64
 
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,10 +125,8 @@ def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def bands(prints: np.ndarray) -> np.ndarray:
-    """BANDS values of each fingerprint, then PLANES words with a bit of each of its places."""
-    values = np.ascontiguousarray(prints).view(np.int64)
-    bits = (prints[:, None, :] >> np.arange(PLANES, dtype=np.uint16)[:, None]) & np.uint16(1)
-    return np.concatenate([values, np.packbits(bits.astype(np.uint8), axis=-1).view(np.int64)[:, :, 0]], 1)
+    """BANDS values of each fingerprint, of four places each."""
+    return np.ascontiguousarray(prints).view(np.int64)
 
 
 def as_text(prints: np.ndarray) -> list[str]:
@@ -224,30 +222,53 @@ def _across(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield own.beside(other)
 
 
-def edited(documents: DataFrame) -> tuple[DataFrame, str]:
-    """Every row's fingerprint, digest and bands, and those of its edited text beside the next document's, written, and where."""
+def edited(documents: DataFrame) -> DataFrame:
+    """Every row's fingerprint, digest and bands, and those of its edited text beside the next document's, written."""
     spark = documents.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
     packed = rows.mapInArrow(_pack, "doc_id long, tie long, row long, packed binary, size long")
     order = [F.asc_nulls_last("doc_id"), "tie", "row"]  # equal rows are spread, too
     with only(spark) as keep:
-        ranges, _ = written(packed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_in_order, _FINISHED), "ranges")
+        ranges, path = written(packed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_in_order, _FINISHED), "ranges")
         edges = ranges.filter("place is not null")
         parts = sorted(r.part for r in edges.filter("place = 'first'").select("part").collect())  # a row for each range
         following = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next int")
         last = edges.filter("place = 'last'").select("part", F.col("doc_id").alias("id_a"), F.col("packed").alias("a")).join(F.broadcast(following), "part")
         first = edges.filter("place = 'first'").select(F.col("part").alias("next"), F.col("doc_id").alias("id_b"), F.col("packed").alias("b"))
-        met = last.join(first, "next").select("id_a", "a", "id_b", "b").mapInArrow(_across, _FINISHED)
-        whole = ranges.filter("place is null").union(met).drop("part", "place", "packed")
-        out, path = written(whole, "edited")
-        return keep(out, path), path
+        met, met_path = written(last.join(first, "next").select("id_a", "a", "id_b", "b").mapInArrow(_across, _FINISHED), "met")
+        return keep(ranges, path).filter("place is null").union(keep(met, met_path)).drop("part", "place", "packed")
 
 
 def _banded(classes: DataFrame) -> DataFrame:
-    """``band, id, planes``: a row for each class and band; the band holds its number and value."""
-    each = F.transform(F.slice("bands", 1, BANDS), lambda v, i: F.struct(i.alias("no"), v.alias("value")))
-    return classes.select("id", F.slice("bands", BANDS + 1, PLANES).alias("planes"), F.explode(each).alias("band"))
+    """``id, band``: a row for each class and band; the band is a hash of its number and value."""
+    return classes.select("id", F.explode(F.transform("bands", lambda v, i: F.xxhash64(i, v))).alias("band"))
+
+
+@trimmed
+def _sketches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Set size and wide sketch of each text."""
+    for batch in found:
+        data, offsets = text_views(batch.column(1))
+        for i, j in groups_of(offsets, SEGMENT):
+            sets = shingle_sets(data[int(offsets[i]) : int(offsets[j])], offsets[i : j + 1] - offsets[i])
+            words = np.frombuffer(b"".join(wide_sketch(x) for x in sets), np.int64)
+            wide = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * WORDS), pa.array(words))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), wide], names=["id", "size", "wide"])
+
+
+def may_be_linked(x: str, y: str) -> Column:
+    """Whether the sets of two sides of a join, each with ``size`` and ``wide``, may reach the threshold: by their sizes, and by the
+    bins that both fill and the bits that agree there. As near_dup has it for arrays, in the join's own expressions."""
+    half = WORDS // 2
+    total = lambda term: "(" + " + ".join(f"bit_count({term.format(x=x, y=y, a=k, b=k + half)})" for k in range(half)) + ")"
+    either, both = total("{x}.wide[{a}] | {y}.wide[{a}]"), total("{x}.wide[{a}] & {y}.wide[{a}]")
+    equal = total("{x}.wide[{a}] & {y}.wide[{a}] & ~({x}.wide[{b}] ^ {y}.wide[{b}])")
+    least = THRESHOLD / 100
+    union = f"greatest(({x}.size + {y}.size) / {1 + least}, {either})"
+    spread = f"(greatest({both} - {least} * {either}, 0) + {least * (1 - least)} * {either} * (1 - {either} / {union}) + 1)"
+    sizes = f"100 * least({x}.size, {y}.size) >= {THRESHOLD} * greatest({x}.size, {y}.size)"
+    return F.expr(f"{sizes} AND 2 * {equal} - {both} >= {least} * {either} - {DEVIATIONS} * sqrt({spread})")
 
 
 def _component(df: DataFrame, found: DataFrame) -> DataFrame:
@@ -261,10 +282,9 @@ def near_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with only(spark) as keep:
         full = prints.filter("digest is not null and doc_id is not null").select("doc_id", "digest", "bands")
-        values = [F.min(F.col("bands")[k]).alias(f"v{k}") for k in range(BANDS + PLANES)]  # equal for equal sets
+        values = [F.min(F.col("bands")[k]).alias(f"v{k}") for k in range(BANDS)]  # equal for equal sets
         classes = full.groupBy("digest").agg(F.min("doc_id").alias("id"), *values)
-        classes, _ = written(classes.select("digest", "id", F.array(*[f"v{k}" for k in range(BANDS + PLANES)]).alias("bands")), "classes")
-        # an id that has several texts has several classes: the smallest stands for the id
+        classes, _ = written(classes.select("digest", "id", F.array(*[f"v{k}" for k in range(BANDS)]).alias("bands")), "classes")
         banded, _ = written(_banded(classes), "bands")
         shared = banded.groupBy("band").agg(F.min("id").alias("leader"), F.count("*").alias("n")).filter("n > 1").select("band", "leader")
         placed, _ = written(banded.join(shared, "band"), "placed")
@@ -277,18 +297,15 @@ def near_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
         stars, _ = written(placed.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
         same = shared_ids(full, classes.select("digest", "id"))
         found = connected_components(links(stars).union(same), "a", "b")
-        own = _component(placed, found).select("band", "id", "planes", "component", "leader")
+        own = _component(placed, found).select("band", "id", "component", "leader")
         leaders = found.select(F.col("id").alias("leader"), F.col("component").alias("of_leader"))
         own, _ = written(own.join(leaders, "leader", "left").withColumn("of_leader", F.coalesce("of_leader", "leader")).drop("leader"), "placed")
-        apart = own.filter("component <> of_leader")
-        some = own.join(apart.select("band").distinct(), "band", "left_semi")
-        x, y = apart.alias("x"), some.alias("y")
-        differ = lambda k: F.col("x.planes")[k].bitwiseXOR(F.col("y.planes")[k])
-        either = differ(0)
-        for k in range(1, PLANES):
-            either = either.bitwiseOR(differ(k))
+        some = own.join(own.filter("component <> of_leader").select("band").distinct(), "band", "left_semi")
+        sketches, _ = written(texts_of(docs, some.select(F.col("id").alias("doc_id")).distinct()).mapInArrow(_sketches, "id long, size long, wide array<long>"), "sketches")
+        some, _ = written(some.join(sketches, "id"), "some")  # texts that share an id each have a row
+        x, y = some.filter("component <> of_leader").alias("x"), some.alias("y")
         once = (F.col("y.component") == F.col("y.of_leader")) | (F.col("x.id") < F.col("y.id"))
-        meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & once & (F.bit_count(either) <= DIFFERENT)
+        meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & once & may_be_linked("x", "y")
         pairs = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
         rest, _ = written(pairs.join(stars, ["a", "b"], "left_anti"), "rest")
         if not rest.isEmpty():
@@ -301,7 +318,7 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
     """Every row's fingerprint, edited text and likenesses, and ``near_id``, the smallest id of its near-duplicates."""
     spark = documents.sparkSession
     with only(spark) as keep:
-        prints = keep(*edited(documents))
+        prints = edited(documents)
         near = near_documents(documents, prints)
         near_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("near_id", "doc_id"))
         out = prints.select(*_RESULT, "digest").join(near, "digest", "left").select(*_RESULT, near_id.alias("near_id"))

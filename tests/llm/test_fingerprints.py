@@ -5,9 +5,12 @@ import hashlib
 import random
 
 import numpy as np
-from .cases import LONG, TEXTS, documents, text
+from pyspark.sql import functions as F
 
 from sievemill.llm import fingerprints as M
+from sievemill.llm import near_dup
+
+from .cases import LONG, TEXTS, documents, text
 
 
 def words_of(t):
@@ -145,6 +148,23 @@ def test_near_documents_against_all_pairs(spark):
     assert sum(got[i] != want[i] for i in want) <= 1  # a pair at the threshold shares no band with a chance of 0.002
 
 
+def test_the_join_compares_sketches_as_arrays_are(spark):
+    rng = random.Random(9)
+    sets = [np.array(sorted(rng.sample(range(1 << 20), rng.randint(1, 400))), np.uint64) * np.uint64(1 << 44) for _ in range(30)]
+    sets += [np.unique(np.concatenate([x[: int(len(x) * rng.random())], sets[0]])) for x in sets]
+    wide = np.stack([np.frombuffer(near_dup.wide_sketch(x), np.int64) for x in sets])
+    table = spark.createDataFrame([(k, len(x), w.tolist()) for k, (x, w) in enumerate(zip(sets, wide, strict=True))], "id int, size long, wide array<long>")
+    joined = table.alias("x").join(table.alias("y"), F.col("x.id") < F.col("y.id"))
+    got = {(r[0], r[1]) for r in joined.filter(M.may_be_linked("x", "y")).select("x.id", "y.id").collect()}
+    words, want = wide.view(np.uint64), set()
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            one, other = np.array([len(sets[a])]), np.array([len(sets[b])])
+            if near_dup._fits(one, other)[0] and near_dup._may_be_linked(words[a : a + 1], words[b : b + 1], one, other)[1][0]:
+                want.add((a, b))
+    assert got == want and 10 < len(want) < 1000
+
+
 def test_the_query_has_every_row_of_the_table(spark, sf):
     got = {r.doc_id: r for r in M.op11_fingerprints(spark, sf).collect()}
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
