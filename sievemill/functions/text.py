@@ -135,11 +135,19 @@ def first_identity_value(*values: Column) -> Column:
     return F.coalesce(*[F.when(identity_value(v) != "", v.cast("string")) for v in values], F.lit(""))
 
 
-def sort_id(c: Column) -> list[Column]:
-    """Order of ids: numbers by value, then texts."""
-    text = clean_id(c)
-    number = F.when(text.rlike(r"^\d+$"), text.try_cast("decimal(38,0)"))
-    return [F.when(number.isNull(), 1).otherwise(0), number.asc_nulls_last(), text]
+def sort_id(c: Column) -> Column:
+    """What ids are ordered by: numbers by value, then texts."""
+
+    def of(text: Column) -> Column:
+        number = F.when(text.rlike(r"^\d+$"), text.try_cast("decimal(38,0)"))
+        return F.struct(number.isNull().alias("is_text"), number.alias("number"), text.alias("text"))
+
+    return let(clean_id(c), of)
+
+
+def ordered_ids(ids: Column) -> Column:
+    """An array of ids in the order of ``sort_id``."""
+    return F.transform(F.array_sort(F.transform(ids, lambda i: F.struct(sort_id(i).alias("by"), i.alias("id")))), lambda x: x.id)
 
 
 def upper_sha256(c: Column) -> Column:

@@ -119,10 +119,11 @@ def prefix_columns(df: DataFrame, key: str, prefix: str) -> DataFrame:
     return df.select(key, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c != key])
 
 
-def changed_rows(before: DataFrame, after: DataFrame, pos: str, frozen: list[str]) -> DataFrame:
-    """Positions and columns whose frozen cells differ, nulls counting as empty."""
+def changed_rows(before: DataFrame, after: DataFrame, pos: str, frozen: list[str], as_ids: tuple[str, ...] = ("id", "year")) -> DataFrame:
+    """Positions and columns whose frozen cells differ, nulls counting as empty; ids and years are compared as ids, so 5 is 5.0."""
+    text = lambda c, name: X.clean_id(F.col(name)) if c in as_ids else X.clean(F.col(name))
     new = after.select(F.col(pos), *[F.col(c).alias(f"_{c}") for c in frozen])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), X.clean(F.col(c)).alias("was"), X.clean(F.col(f"_{c}")).alias("now")) for c in frozen])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text(c, c).alias("was"), text(c, f"_{c}").alias("now")) for c in frozen])
     both = before.select(pos, *frozen).join(new, pos, "full")
     return both.select(pos, F.explode(pairs).alias("c")).filter("c.was <> c.now").select(pos, "c.*")
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from sievemill.functions import tags, urls
 from sievemill.functions import text as X
 
+from sievemill.sources.shared_tables import written
+
 from .chunk import global_positions
 from .components import connected_components
 from .link import keys_of_groups
@@ -55,11 +57,24 @@ def numbered_groups(members: DataFrame, prefix: str) -> DataFrame:
     return global_positions(groups, ["component"], "number").select(F.format_string(f"{prefix}_%04d", "number").alias("group"), "component", "n")
 
 
-def member_lists(members: DataFrame) -> DataFrame:
-    """``component, members``: one row with the ids of each group, joined by semicolons. For tables that people read; a group has to
-    fit one row."""
-    own = F.array_sort(F.collect_list("id"))
-    return members.groupBy("component").agg(own.alias("m")).filter(F.size("m") > 1).select("component", F.array_join(F.transform("m", lambda i: i.cast("string")), ";").alias("members"))
+def ranked(df: DataFrame, row_id: str) -> DataFrame:
+    """``id, rank`` of the distinct ids in the order of ``sort_id``, written. Graphs are built on ranks, so that the smallest member of
+    a group, the order of members and that of groups are those of ids."""
+    own = df.select(F.col(row_id).alias("id")).filter("id is not null").distinct().withColumn("_by", X.sort_id(F.col("id")))
+    return written(global_positions(own, ["_by", "id"], "rank").select("id", "rank"), "ranks")[0]
+
+
+def on_ranks(df: DataFrame, ranks: DataFrame, row_id: str) -> DataFrame:
+    """The rows with their rank in place of the id."""
+    return df.join(ranks.select(F.col("id").alias(row_id), F.col("rank").alias("_rank")), row_id).drop(row_id).withColumnRenamed("_rank", row_id)
+
+
+def member_lists(members: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``component, members``: one row with the ids of each group in order, joined by semicolons. For tables that people read; a group
+    has to fit one row. ``members`` has ranks as ids."""
+    own = F.array_sort(F.collect_list(F.struct("rank", F.col("name").cast("string").alias("name"))))
+    named = members.join(ranks.select(F.col("id").alias("name"), "rank"), F.col("id") == F.col("rank"))
+    return named.groupBy("component").agg(own.alias("m")).filter(F.size("m") > 1).select("component", F.array_join(F.transform("m", lambda x: x["name"]), ";").alias("members"))
 
 
 def shared_by_all(keys: DataFrame, members: DataFrame) -> DataFrame:
@@ -73,6 +88,8 @@ def duplicate_candidates(df: DataFrame, row_id: str, names: Column | None, addre
     """Rows that share a name or address key, directly or through others: ``id, group, members, candidate_count, match_basis``. The
     basis is ``name``, ``url`` or both where all members share such a key, else ``transitive``. Without ``lists`` the members are left
     out, which a group of g rows would hold g times."""
+    ranks = ranked(df, row_id)
+    df = on_ranks(df, ranks, row_id)
     kinds = {}
     if names is not None:
         kinds["name"] = keys_of_groups(df, row_id, names)
@@ -90,8 +107,9 @@ def duplicate_candidates(df: DataFrame, row_id: str, names: Column | None, addre
     joined = F.concat_ws(";", *basis)
     groups = groups.withColumn("match_basis", F.when(joined == "", F.lit("transitive")).otherwise(joined))
     if lists:
-        groups = groups.join(member_lists(members), "component")
-    return members.join(groups, "component").select("id", "group", *(["members"] if lists else []), F.col("n").alias("candidate_count"), "match_basis")
+        groups = groups.join(member_lists(members, ranks), "component")
+    named = members.withColumnRenamed("id", "rank").join(ranks, "rank")
+    return named.join(groups, "component").select("id", "group", *(["members"] if lists else []), F.col("n").alias("candidate_count"), "match_basis")
 
 
 def catalog_duplicates(df: DataFrame, audit: DataFrame | None, row_id: str = "id", name: str = "database_name", url: str = "database_url", decision: str = "db_type_confirmation") -> DataFrame:
@@ -111,11 +129,11 @@ def catalog_duplicates(df: DataFrame, audit: DataFrame | None, row_id: str = "id
 def check_decisions(df: DataFrame, group: str = "group", row_id: str = "id", action: str = "action", canonical: str = "canonical", representative: str = "representative", members: str | None = None, statement: str | None = None) -> DataFrame:
     """Groups whose decisions contradict themselves: ``group, rule``. ``members``: a column with the group's candidates, which have to be
     the rows decided on; ``statement``: one with the reason, of at least STATEMENT characters."""
-    declared = F.array_sort(F.array_distinct(tags.split_tags(F.col(members)))) if members else F.lit(None).cast("array<string>")
+    declared = F.array_sort(F.array_distinct(F.transform(tags.split_tags(F.col(members)), X.clean_id))) if members else F.lit(None).cast("array<string>")
     short = F.length(X.clean(F.col(statement))) < STATEMENT if statement else F.lit(False)
     own = F.col(representative).cast("string") == F.col(row_id).cast("string")
     df = df.withColumn("_declared", declared).withColumn("_short", short).withColumn("_own", own)
-    g = df.groupBy(group).agg(F.collect_set("_declared").alias("declared"), F.bool_or("_short").alias("short"), F.bool_and("_own").alias("own"), F.array_sort(F.collect_set(F.col(row_id).cast("string"))).alias("texts"), F.collect_set(action).alias("actions"), F.collect_set(canonical).alias("names"), F.collect_set(representative).alias("reps"), F.collect_set(row_id).alias("ids"), F.count("*").alias("n"))
+    g = df.groupBy(group).agg(F.collect_set("_declared").alias("declared"), F.bool_or("_short").alias("short"), F.bool_and("_own").alias("own"), F.array_sort(F.collect_set(X.clean_id(F.col(row_id)))).alias("texts"), F.collect_set(action).alias("actions"), F.collect_set(canonical).alias("names"), F.collect_set(representative).alias("reps"), F.collect_set(row_id).alias("ids"), F.count("*").alias("n"))
     merge = F.array_contains("actions", "merge")
     rules = {
         "mixed_action": F.size("actions") > 1,
@@ -153,16 +171,17 @@ def unresolved(groups: DataFrame, split: DataFrame) -> DataFrame:
 def incremental_groups(df: DataFrame, canonical: DataFrame, duplicates: DataFrame, prefix: str = "incremental_dup") -> DataFrame:
     """Duplicate groups and canonical names of several representatives, overlapping sets united: ``id, group, members``. Both are edge
     tables: ``canonical`` has ``id, name``, ``duplicates`` ``id, group``."""
-    by_name = keys_of_groups(canonical, "id", F.array("name"))
-    by_group = keys_of_groups(duplicates, "id", F.array("group"))
-    both = by_name.union(by_group)
     known = df.select("id").distinct()
-    foreign = both.select("id").distinct().join(known, "id", "left_anti").limit(1).collect()
+    foreign = canonical.select("id").union(duplicates.select("id")).distinct().join(known, "id", "left_anti").limit(1).collect()
     if foreign:
         raise ValueError(f"unknown id: {foreign[0][0]}")
+    ranks = ranked(known, "id")
+    by_name = keys_of_groups(on_ranks(canonical, ranks, "id"), "id", F.array("name"))
+    by_group = keys_of_groups(on_ranks(duplicates, ranks, "id"), "id", F.array("group"))
+    both = by_name.union(by_group)
     members = connected_components(both.select(F.col("id").alias("src"), F.col("first_id").alias("dst")).filter("src <> dst"))
-    groups = numbered_groups(members, prefix).join(member_lists(members), "component")
-    return members.join(groups, "component").select("id", "group", "members")
+    groups = numbered_groups(members, prefix).join(member_lists(members, ranks), "component")
+    return members.withColumnRenamed("id", "rank").join(ranks, "rank").join(groups, "component").select("id", "group", "members")
 
 
 def single_representatives(df: DataFrame, group: str, canonical: str, representative: str, row_id: str) -> DataFrame:
@@ -173,16 +192,40 @@ def single_representatives(df: DataFrame, group: str, canonical: str, representa
     return g.select("group_key", "canonical", F.size("ids").alias("n"), ok.alias("valid"))
 
 
-def apply_incremental(final: DataFrame, decisions: DataFrame, row_id: str = "id", flag: str = "original48") -> tuple[DataFrame, DataFrame]:
+def incremental_candidates(final: DataFrame, canonical: DataFrame | None = None, row_id: str = "id") -> DataFrame:
+    """``id, group, members`` of the groups that have to be decided on: duplicates among the final rows, and representatives that share
+    a canonical name (``canonical``: ``name, representative`` of an earlier audit), overlapping sets united."""
+    found = catalog_duplicates(final, None, row_id).select("id", "group")
+    names = final.select(F.col(row_id).alias("id"), F.lit(None).cast("string").alias("name")).limit(0)
+    if canonical is not None:
+        kept = canonical.filter((X.clean(F.col("name")) != "") & (X.clean(F.col("representative")) != ""))
+        names = kept.select(F.col("representative").cast(final.schema[row_id].dataType).alias("id"), X.clean(F.col("name")).alias("name")).distinct()
+    return incremental_groups(final.select(F.col(row_id).alias("id")), names, found)
+
+
+def check_against_candidates(decisions: DataFrame, candidates: DataFrame) -> None:
+    """Decisions have to be on the candidates' rows, in the candidates' groups; anything else is an error."""
+    own = decisions.select(X.clean_id(F.col("id")).alias("id"), X.clean(F.col("group")).alias("group"), F.lit(1).alias("decided"))
+    theirs = candidates.select(X.clean_id(F.col("id")).alias("id"), F.col("group"), F.lit(1).alias("asked"))
+    sides = own.groupBy("id", "group").agg(F.count("*").alias("decided")).join(theirs, ["id", "group"], "full")
+    bad = sides.filter("asked is null or decided is null or decided > 1").orderBy(X.sort_id(F.col("id")), "group").limit(1).collect()
+    if bad:
+        what = "is no candidate" if bad[0].asked is None else "lacks a decision" if bad[0].decided is None else "is decided twice"
+        raise ValueError(f"{bad[0].group}: id {bad[0].id} {what}")
+
+
+def apply_incremental(final: DataFrame, decisions: DataFrame, row_id: str = "id", flag: str = "original48", canonical: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Final rows after decisions on the groups found among them, and an audit row for each group: ``canonical, representative,
-    member_ids, removed_ids, member_count, action``. ``decisions``: ``group, id, action, canonical, representative``. Contradicting
-    decisions are an error, and so are duplicates that then remain without a decision to split just these members."""
+    member_ids, removed_ids, member_count, action``. ``decisions``: ``group, id, action, canonical, representative`` of every row of
+    ``incremental_candidates``. Decisions on other rows or that contradict themselves are an error, and so are duplicates that then
+    remain without a decision to split just these members."""
+    check_against_candidates(decisions, incremental_candidates(final, canonical, row_id))
     broken = check_decisions(decisions).orderBy("group", "rule").limit(1).collect()
     if broken:
         raise ValueError(f"{broken[0].group}: {broken[0].rule}")
     merged = decisions.filter("action = 'merge' and id <> representative").select("id", "representative")
     kept, _ = apply_merges(final, merged, row_id, flag)
-    order = lambda c: F.array_join(F.array_sort(c), ";")
+    order = lambda c: F.array_join(X.ordered_ids(c), ";")
     gone = F.collect_list(F.when((F.col("action") == "merge") & (F.col("id") != F.col("representative")), F.col("id")))
     audit = decisions.groupBy("group", "action").agg(
         F.first("canonical").alias("canonical"), F.min(F.when(F.col("action") == "merge", F.col("representative"))).alias("representative"), order(F.collect_set("id")).alias("member_ids"), order(gone).alias("removed_ids"), F.countDistinct("id").alias("member_count")
@@ -194,16 +237,18 @@ def apply_incremental(final: DataFrame, decisions: DataFrame, row_id: str = "id"
     return kept, audit
 
 
-def canonical_groups(reviewed: DataFrame, row_id: str = "id", group: str = "group", members: str = "members", canonical: str = "canonical", representative: str = "representative", flag: str = "original48") -> DataFrame:
-    """Reviewed rows by candidate group (or row) and canonical name: ``group_key, canonical, representative, member_ids, removed_ids,
+def canonical_groups(reviewed: DataFrame, row_id: str = "id", group: str = "group", members: str = "members", canonical: str = "canonical", representative: str = "representative", flag: str = "original48", decision: str | None = None) -> DataFrame:
+    """Reviewed rows, with ``decision`` those decided yes, by candidate group (or row) and canonical name: ``group_key, canonical, representative, member_ids, removed_ids,
     member_count, flag, rule``. The rule names what contradicts: members outside a candidate group, several representatives, or one
     that is no member; it is null for a good group."""
-    text = lambda c: X.clean(F.col(c).cast("string"))
-    key = F.coalesce(F.when(text(group) != "", text(group)), F.concat(F.lit("row:"), text(row_id)))
+    text, own = lambda c: X.clean(F.col(c)), lambda c: X.clean_id(F.col(c))
+    if decision is not None:
+        reviewed = reviewed.filter(F.lower(text(decision)) == "yes")
+    key = F.coalesce(F.when(text(group) != "", text(group)), F.concat(F.lit("row:"), own(row_id)))
     g = reviewed.groupBy(key.alias("group_key"), text(canonical).alias("canonical")).agg(
-        F.array_sort(F.collect_set(text(row_id))).alias("ids"),
-        F.collect_set(text(representative)).alias("reps"),
-        F.collect_set(F.array_sort(tags.split_tags(F.col(members)))).alias("allowed"),
+        X.ordered_ids(F.collect_set(own(row_id))).alias("ids"),
+        F.collect_set(own(representative)).alias("reps"),
+        F.collect_set(F.array_sort(F.transform(tags.split_tags(F.col(members)), X.clean_id))).alias("allowed"),
         F.bool_or(F.lower(text(flag)) == "yes").alias("any"),
     )
     rule = (

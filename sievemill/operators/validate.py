@@ -225,14 +225,16 @@ def curation_rules() -> list[Rule]:
 
 def validate_chunk(result: DataFrame | None, source: DataFrame, pos: str, columns: list[str], frozen: list[str]) -> dict:
     """Status of a curated chunk against its input: ``pending`` without a result, ``complete``, or ``invalid`` with the first failing
-    rule's first violations. Checks in order: columns and their order, row count, unchanged cells, the rules, the share of manual
-    reviews."""
+    rule's first violations. Checks in order: the input's columns, the result's columns and their order, row count, order of ids,
+    unchanged cells, the rules, the share of manual reviews."""
     from .link import changed_rows
 
     if result is None:
         return {"status": "pending", "input_rows": None, "result_rows": None, "error": "result is missing"}
     n_in, n_out = source.count(), result.count()
     report = lambda error: {"status": "invalid" if error else "complete", "input_rows": n_in, "result_rows": n_out, "error": error or ""}
+    if [c for c in source.columns if c != pos] != columns:
+        return report("the input's columns are not those of a curation table")
     missing = [c for c in columns if c not in result.columns]
     if missing:
         return report(f"missing columns: {', '.join(missing)}")
@@ -243,6 +245,8 @@ def validate_chunk(result: DataFrame | None, source: DataFrame, pos: str, column
         return report("columns are in another order")
     if n_in != n_out:
         return report(f"expected {n_in} rows, found {n_out}")
+    if not changed_rows(source, result, pos, ["id"]).isEmpty():
+        return report("ids are in another order")
     changed = changed_rows(source, result, pos, frozen).orderBy(pos).limit(5).collect()
     if changed:
         return report("; ".join(f"{r.column} changed: {r.was or '<blank>'} to {r.now or '<blank>'}" for r in changed))

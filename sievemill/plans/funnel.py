@@ -112,7 +112,7 @@ def curation_table(rows: DataFrame, policy: str, pos: str = "pos") -> DataFrame:
     made = {
         "title": X.clean(get("title")),
         "database_name": X.clean_resource_name(get("resource_name")),
-        "database_url": urls.first_database_url(get("abstractText"), get("AI_reason")),
+        "database_url": urls.first_database_url(get("abstractText"), get("title"), get("AI_reason")),
         "doi": ids.doi_bare(get("doi")),
         "pmid": X.clean_int_identifier(get("pmid")),
         "year": X.clean_year(get("pubYear")),
@@ -143,9 +143,40 @@ def run(spark: SparkSession, config: Config) -> DataFrame:
     return stages.run("curation", lambda: curation_table(rows, config.policy_version))
 
 
-def finalize(curated: DataFrame, audit: DataFrame, reviewed: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Reviewed rows in place of curated ones, merged duplicates reduced to their representatives: the final rows and the removed ids."""
-    from sievemill.operators import resolve
-
-    overlaid = link.overlay(curated, reviewed, "id")
-    return resolve.apply_merges(overlaid, decisions, "id", "original48")
+def finalize(curated: DataFrame, reviewed: DataFrame, neural_columns: list[str], most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """The final catalog, and an audit row for each canonical group.
+
+    Reviewed rows, which also have ``group, members, canonical, representative``, replace curated ones as a whole. Every row that is
+    then decided yes must have been reviewed. Canonical groups of such rows are reduced to their representatives, whose yes/no flag
+    is yes if a member's is; neural links are made consistent; evidence, decisions and the share of manual reviews are judged on the
+    result. Rows come in the order of ids; anything wrong is an error that names the first ``most`` rows."""
+    from sievemill.operators import resolve, validate
+
+    twice = reviewed.groupBy(X.clean_id(F.col("id")).alias("id")).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"reviewed twice: {twice[0].id}")
+    audited = ["group", "members", "canonical", "representative"]
+    own = reviewed.select(F.lit(True).alias("_seen"), X.clean_id(F.col("id")).alias("_id"), F.struct(*curated.columns).alias("_row"), F.struct(*audited).alias("_audit"))
+    both = curated.withColumn("_id", X.clean_id(F.col("id"))).withColumn("_old", F.struct(*curated.columns)).select("_id", "_old").join(own, "_id", "left")
+    rows = both.select("_id", F.coalesce("_row", "_old").alias("_now"), "_audit").select("_id", "_now.*", *[F.col(f"_audit.{c}").alias(c) for c in audited])
+    yes = rows.filter(F.lower(X.clean(F.col("db_type_confirmation"))) == "yes")
+    missing = yes.filter(X.clean(F.col("canonical")) == "").orderBy("_id").limit(most).collect()
+    if missing:
+        raise ValueError(f"decided yes without a review: {', '.join(r['_id'] for r in missing)}")
+    groups = resolve.canonical_groups(yes)
+    broken = groups.filter("rule is not null").orderBy("canonical").limit(1).collect()
+    if broken:
+        raise ValueError(f"canonical group {broken[0].canonical}: {broken[0].rule}")
+    merged = groups.select(F.explode(F.split("removed_ids", ";")).alias("id"), "representative").filter("id <> ''")
+    plain = rows.withColumn("id", F.col("_id")).select(curated.columns)
+    kept, _ = resolve.apply_merges(plain, merged, "id", "original48")
+    final = validate.consistent_neural_link(kept, neural_columns).orderBy(X.sort_id(F.col("id")))
+    placed = final.withColumn("_pos", X.sort_id(F.col("id")))
+    for rules in (validate.final_evidence_rules(), validate.final_decision_rules(neural_columns)):
+        error = validate.first_messages(validate.violations(placed, "_pos", "id", rules), most)
+        if error:
+            raise ValueError(error)
+    n, reviews = final.count(), final.filter(F.lower(X.clean(F.col("manual_review_needed"))) == "yes").count()
+    if reviews > validate.final_review_limit(n):
+        raise ValueError(f"manual review limit exceeded: {reviews}/{n} rows, maximum {validate.final_review_limit(n)}")
+    return final, groups.drop("rule", "group_key")

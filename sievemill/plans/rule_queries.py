@@ -170,14 +170,15 @@ def decision_checks(spark, sf):
 
 @query(
     """
-WITH c AS (SELECT c_custkey AS id, c_nationkey || '-' || c_mktsegment AS grp, c_nationkey AS n FROM customer WHERE c_nationkey % 2 = 0),
-g AS (SELECT grp, n, list_sort(list(CAST(id AS VARCHAR))) AS ids, min(id) AS first FROM c GROUP BY 1, 2)
+WITH c AS (SELECT c_custkey AS id, c_nationkey || '-' || c_mktsegment AS grp, c_nationkey AS n FROM customer),
+g AS (SELECT grp, n, list_transform(list_sort(list(id)), lambda i: CAST(i AS VARCHAR)) AS ids, min(id) AS first FROM c WHERE n % 2 = 0 GROUP BY 1, 2
+  UNION ALL SELECT grp, n, [CAST(id AS VARCHAR)], id FROM c WHERE n % 2 = 1)
 SELECT grp AS group_key, CASE WHEN n = 4 THEN '0' ELSE CAST(first AS VARCHAR) END AS representative, array_to_string(ids, ';') AS member_ids,
   array_to_string(list_filter(ids, lambda i: n = 4 OR i <> CAST(first AS VARCHAR)), ';') AS removed_ids, len(ids) AS member_count, CASE WHEN n = 4 THEN 'representative is no member' END AS rule FROM g
 """
 )
 def canonical_groups(spark, sf):
-    rows = _decided(spark, sf).filter("action = 'merge'")
+    rows = _decided(spark, sf)
     members = rows.groupBy("group").agg(F.array_join(F.collect_list("id"), "; ").alias("members"))
     out = resolve.canonical_groups(rows.join(members, "group").withColumn("original48", F.lit("no")))
     return out.select("group_key", "representative", "member_ids", "removed_ids", "member_count", "rule")
@@ -187,16 +188,16 @@ def canonical_groups(spark, sf):
     """
 WITH RECURSIVE e AS (SELECT a.c_custkey AS u, b.c_custkey AS v FROM customer a JOIN customer b ON (a.c_custkey % 100 = b.c_custkey % 100 AND a.c_custkey % 3 = 0 AND b.c_custkey % 3 = 0) OR (a.c_custkey % 70 = b.c_custkey % 70 AND a.c_custkey % 5 = 0 AND b.c_custkey % 5 = 0)),
 r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.v),
-c AS (SELECT u AS id, min(v) AS first, count(DISTINCT v) AS n FROM r GROUP BY u HAVING count(DISTINCT v) > 1)
-SELECT id, 'incremental_dup_' || lpad(CAST(dense_rank() OVER (ORDER BY first) AS VARCHAR), 4, '0') AS "group" FROM c
+c AS (SELECT u AS id, min(v) AS first, string_agg(CAST(v AS VARCHAR), ';' ORDER BY v) AS members FROM r GROUP BY u HAVING count(*) > 1)
+SELECT CAST(id AS VARCHAR) AS id, members, 'incremental_dup_' || lpad(CAST(dense_rank() OVER (ORDER BY first) AS VARCHAR), 4, '0') AS "group" FROM c
 """
 )
 def incremental_groups(spark, sf):
     k = F.col("c_custkey")
-    rows = table(spark, sf, "customer").select(k.alias("id"))
-    names = rows.filter("id % 3 = 0").select("id", (F.col("id") % 100).cast("string").alias("name"))
-    groups = rows.filter("id % 5 = 0").select("id", (F.col("id") % 70).cast("string").alias("group"))
-    return resolve.incremental_groups(rows, names, groups).select("id", "group")
+    rows = table(spark, sf, "customer").select(k.cast("string").alias("id"))
+    names = rows.filter("id % 3 = 0").select("id", (F.col("id").cast("int") % 100).cast("string").alias("name"))
+    groups = rows.filter("id % 5 = 0").select("id", (F.col("id").cast("int") % 70).cast("string").alias("group"))
+    return resolve.incremental_groups(rows, names, groups).select("id", "group", "members")
 
 
 @query("SELECT d.doc_id, l.quality, CASE WHEN l.doc_id IS NULL THEN 'no' ELSE 'yes' END AS agent_reviewed FROM documents d LEFT JOIN labels l USING (doc_id)")

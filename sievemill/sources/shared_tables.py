@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager, suppress
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Paths written within the scopes that are open, the innermost last.
-_SCOPES: list[list[str]] = []
-#: Paths that no scope deletes: results may still read them until the driver ends.
-_LEFT: list[str] = []
-
-
-@atexit.register
-def _remove_left() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext._jsc is not None:
-        with suppress(Exception):
-            remove(spark, *_LEFT)
+#: Paths written within the scopes that are open, the innermost last; each thread has its own scopes.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("_SCOPES", default=())
+#: Folders that are deleted when the driver's JVM ends.
+_FOLDERS: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="sievemill-")
         spark.conf.set("spark.checkpoint.dir", base)
+        _delete_at_the_end(spark, base)
     return base.rstrip("/")
 
 
@@ -41,9 +34,22 @@ def is_local(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+def _delete_at_the_end(spark: SparkSession, folder: str) -> None:
+    """Let the file system delete the folder when the driver's JVM ends, whether or not the session was stopped before."""
+    make_folder(spark, folder)
+    system, p = _file(spark, folder)
+    system.deleteOnExit(p)
+    _FOLDERS.add(folder)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (_SCOPES[-1] if _SCOPES else _LEFT).append(path)
+    """A path for a table in the application's own folder, which goes when the driver ends; a scope that is open deletes it sooner."""
+    folder = f"{shared_dir(spark)}/sievemill-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _delete_at_the_end(spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     return path
 
 
@@ -110,7 +116,7 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         system, p = _file(spark, path)
         system.delete(p, True)
-        for made in [*_SCOPES, _LEFT]:
+        for made in _SCOPES.get():
             if path in made:
                 made.remove(path)
 
@@ -118,10 +124,11 @@ def remove(spark: SparkSession, *paths: str) -> None:
 @contextmanager
 def only(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Delete all tables written within the block but those that ``keep(df, path)`` names: results that a later plan reads. A scope
-    around this one deletes those in its turn, unless it keeps them too."""
+    around this one deletes those in its turn, unless it keeps them too. Scopes of other threads are not touched."""
     made: list[str] = []
     kept: list[str] = []
-    _SCOPES.append(made)
+    outer = _SCOPES.get()
+    token = _SCOPES.set((*outer, made))
 
     def keep(df: DataFrame, path: str) -> DataFrame:
         kept.append(path)
@@ -130,6 +137,7 @@ def only(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]
     try:
         yield keep
     finally:
-        _SCOPES.remove(made)
+        _SCOPES.reset(token)
         remove(spark, *[p for p in made if p not in kept])
-        (_SCOPES[-1] if _SCOPES else _LEFT).extend(kept)
+        if outer:
+            outer[-1].extend(kept)

@@ -135,15 +135,26 @@ def test_decisions_that_leave_duplicates(spark):
     cols = "id string, database_name string, database_url string, db_type_confirmation string, original48 string"
     final = spark.createDataFrame([("1", "Atlas", "", "yes", "yes"), ("2", "Atlas", "", "yes", "no"), ("3", "Other", "", "yes", "no")], cols)
     decide = lambda *rows: spark.createDataFrame(list(rows), "group string, id string, action string, canonical string, representative string")
-    kept, audit = resolve.apply_incremental(final, decide(("g", "1", "merge", "Atlas", "2"), ("g", "2", "merge", "Atlas", "2")))
+    g = "incremental_dup_0001"
+    kept, audit = resolve.apply_incremental(final, decide((g, "1", "merge", "Atlas", "2"), (g, "2", "merge", "Atlas", "2")))
     assert sorted((r.id, r.original48) for r in kept.collect()) == [("2", "yes"), ("3", "no")]
     assert [tuple(r) for r in audit.select("representative", "member_ids", "removed_ids", "member_count").collect()] == [("2", "1;2", "1", 2)]
-    split = decide(("g", "1", "split", "Atlas A", "1"), ("g", "2", "split", "Atlas B", "2"))
+    split = decide((g, "1", "split", "Atlas A", "1"), (g, "2", "split", "Atlas B", "2"))
     assert resolve.apply_incremental(final, split)[0].count() == 3
-    with pytest.raises(ValueError, match="unresolved"):
-        resolve.apply_incremental(final, decide(("h", "3", "split", "Other", "3")))
+    with pytest.raises(ValueError, match="incremental_dup_0001: id 1 lacks a decision"):
+        resolve.apply_incremental(final, decide((g, "2", "split", "Other", "2")))
+    with pytest.raises(ValueError, match="h: id 3 is no candidate"):
+        resolve.apply_incremental(final, decide((g, "1", "merge", "Atlas", "2"), (g, "2", "merge", "Atlas", "2"), ("h", "3", "split", "Other", "3")))
+    with pytest.raises(ValueError, match="decided twice"):
+        resolve.apply_incremental(final, decide((g, "1", "merge", "Atlas", "2"), (g, "1", "merge", "Atlas", "2"), (g, "2", "merge", "Atlas", "2")))
     with pytest.raises(ValueError, match="foreign_representative"):
-        resolve.apply_incremental(final, decide(("g", "1", "merge", "Atlas", "3"), ("g", "2", "merge", "Atlas", "3")))
+        resolve.apply_incremental(final, decide((g, "1", "merge", "Atlas", "3"), (g, "2", "merge", "Atlas", "3")))
+    named = spark.createDataFrame([("Q", "1"), ("Q", "3"), ("R", "2")], "name string, representative string")
+    three = [(r.id, r.members) for r in resolve.incremental_candidates(final, named).orderBy("id").collect()]
+    assert three == [("1", "1;2;3"), ("2", "1;2;3"), ("3", "1;2;3")]
+    chained = spark.createDataFrame([("1", "Atlas", "https://x.org", "yes", "no"), ("2", "Atlas", "https://y.org", "yes", "no"), ("3", "Other", "https://y.org", "yes", "no")], cols)
+    left = decide((g, "1", "merge", "A", "1"), (g, "2", "merge", "A", "1"), (g, "3", "merge", "A", "1"))
+    assert [r.id for r in resolve.apply_incremental(chained, left)[0].collect()] == ["1"]
 
 
 def test_curated_rows_as_input_again(spark):

@@ -147,11 +147,65 @@ def test_failed_answers_come_again(spark, tmp_path):
     assert funnel.classify(rows, fixed, str(tmp_path / "done"), "v1").first().AI_check == "No"
 
 
+FINAL = {
+    "id": "1", "database_name": "Atlas", "original48": "no", "accessibility": "live", "db_type_confirmation": "yes", "qualification_basis": "direct_junction", "exclusion_code": "not_applicable", "focus": "as_focused", "gene_expression_available": "no", "manual_review_needed": "no",
+    "evidence_url": "https://a.org", "evidence_source_type": "official_database", "evidence_statement": "A statement of some length.", "evidence_checked_date": "2026-01-02", "neural_link": "none", "tissue": "liver",
+}
+NO = {"db_type_confirmation": "no", "qualification_basis": "not_applicable", "exclusion_code": "out_of_scope", "focus": "unknown"}
+
+
+def reviewed_row(i, members, canonical, representative, **cells):
+    return {**FINAL, "id": i, **cells, "group": "dup_0001" if ";" in members else "", "members": members, "canonical": canonical, "representative": representative}
+
+
+def table_of(spark, rows, extra=()):
+    names = [*FINAL, *extra]
+    return spark.createDataFrame([tuple(r[c] for c in names) for r in rows], ", ".join(f"`{c}` string" for c in names))
+
+
+def finalized(spark, curated, reviewed):
+    return funnel.finalize(table_of(spark, curated), table_of(spark, reviewed, ("group", "members", "canonical", "representative")), ["tissue"])
+
+
 def test_finalize(spark):
-    cols = "id string, x string, original48 string"
-    curated = spark.createDataFrame([("1", "a", "yes"), ("2", "b", "no")], cols)
-    final, removed = funnel.finalize(curated, None, spark.createDataFrame([("2", "new", "no")], cols), spark.createDataFrame([("1", "2")], "id string, representative string"))
-    assert [tuple(r) for r in final.collect()] == [("2", "new", "yes")] and removed.first().id == "1"
+    curated = [{**FINAL, "id": "10"}, {**FINAL, "id": "9.0", "original48": "yes"}, {**FINAL, "id": "2", **NO}, {**FINAL, "id": "100"}]
+    reviewed = [reviewed_row("10.0", "9;10", "atlas", "10", database_name="New"), reviewed_row("9", "9; 10", "atlas", "10.0", original48="yes"), reviewed_row("100", "100", "own", "100", tissue="cerebral cortex")]
+    final, audit = finalized(spark, curated, reviewed)
+    assert final.columns == list(FINAL)
+    assert [(r.id, r.database_name, r.original48, r.neural_link) for r in final.collect()] == [("2", "Atlas", "no", "none"), ("10", "New", "yes", "none"), ("100", "Atlas", "no", "partial")]
+    assert sorted((r.canonical, r.representative, r.member_ids, r.removed_ids, r.member_count, r.flag) for r in audit.collect()) == [("atlas", "10", "9;10", "9", 2, "yes"), ("own", "100", "100", "", 1, "no")]
+
+
+def test_finalize_rejects(spark):
+    one = [{**FINAL, "id": "1"}]
+    for reviewed, text in (
+        ([], "without a review: 1"),
+        ([reviewed_row("1", "1", " ", "1")], "without a review: 1"),
+        ([reviewed_row("1", "1", "a", "1"), reviewed_row("1.0", "1", "a", "1")], "reviewed twice: 1"),
+        ([reviewed_row("1", "2", "a", "1")], "canonical group a: outside its candidate group"),
+        ([reviewed_row("1", "1;2", "a", "2")], "canonical group a: representative is no member"),
+        ([reviewed_row("1", "1", "a", "1", evidence_url="none")], "invalid evidence URL"),
+        ([reviewed_row("1", "1", "a", "1", evidence_source_type="publication")], "live evidence must be official"),
+        ([reviewed_row("1", "1", "a", "1", exclusion_code="x")], "yes excludes nothing"),
+    ):
+        with pytest.raises(ValueError, match=text):
+            finalized(spark, one, reviewed)
+    manual = {**NO, "exclusion_code": "insufficient_evidence", "manual_review_needed": "yes"}
+    with pytest.raises(ValueError, match="manual review limit exceeded: 2/3"):
+        finalized(spark, [{**FINAL, "id": str(k), **(manual if k else NO)} for k in range(3)], [])
+
+
+def test_an_address_in_a_title_is_found(spark):
+    rows = spark.createDataFrame([(0, "MyDB: see https://mydb.org/x", "no address", "https://late.org"), (1, "t", "at https://first.org.", ""), (2, "t", None, "https://last.org")], "pos int, title string, abstractText string, AI_reason string")
+    assert [r.database_url for r in funnel.curation_table(rows, "v1").orderBy("pos").collect()] == ["https://mydb.org/x", "https://first.org", "https://last.org"]
+
+
+def test_ids_are_compared_as_ids(spark):
+    a = spark.createDataFrame([(0, "5", "2020", "x"), (1, "7", "2021.0", "y")], "pos int, id string, year string, v string")
+    b = spark.createDataFrame([(0, "5.0", "2020.0", "x"), (1, "8", "2021", "y ")], "pos int, id string, year string, v string")
+    from sievemill.operators import link
+
+    assert [tuple(r) for r in link.changed_rows(a, b, "pos", ["id", "year", "v"]).collect()] == [(1, "id", "7", "8")]
 
 
 def test_files(spark, tmp_path):
