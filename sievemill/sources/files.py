@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import workbooks
 from .shared_tables import exists
 
 
@@ -61,34 +60,11 @@ def link_cells(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_excel(df: DataFrame, path: str, links: tuple[str, ...] = (), sheet: str = "Sheet1") -> None:
-    """A small table as a workbook, written by the driver; needs openpyxl. Addresses are texts, but for those in the columns ``links``,
-    which are links as well."""
-    try:
-        import openpyxl
-    except ImportError as e:
-        raise NotImplementedError("writing xlsx needs openpyxl; use CSV or Parquet") from e
-    book = openpyxl.Workbook()
-    page = book.active
-    page.title = sheet
-    page.append(df.columns)
-    for row in df.toLocalIterator():
-        page.append(["" if v is None else v for v in row])
-        for k, c in enumerate(df.columns, 1):
-            cell = page.cell(page.max_row, k)
-            if c in links and re.match(r"(?i)^https?://\S+$", str(cell.value)):
-                cell.hyperlink = str(cell.value)
-    book.save(path)
+    """A folder of workbooks. Addresses are texts, but for those in the columns ``links``, which are links as well."""
+    workbooks.write(df, path, links, sheet)
 
 
 def read_excel(spark: SparkSession, path: str, sheet: str | int = 0, as_text: bool = False) -> DataFrame:
-    """A workbook's sheet, read on the driver; needs an xlsx engine of pandas. ``as_text``: nothing is inferred, null is empty."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise NotImplementedError("reading xlsx needs openpyxl; use CSV or Parquet") from e
-    import pandas as pd
-
-    found = pd.read_excel(path, sheet_name=sheet, dtype=object if as_text else None)
-    if as_text:
-        found = found.fillna("").astype(str)
-    return spark.createDataFrame(found)
+    """A sheet of the workbooks at a path. ``as_text``: nothing is inferred, null is empty; else columns of numbers are numbers."""
+    found = workbooks.read(spark, path, sheet)
+    return found.fillna("") if as_text else workbooks.with_types(found)
