@@ -295,8 +295,10 @@ def near_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
             return confirmed(pairs, texts)[0]
 
         stars, _ = written(placed.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        same = shared_ids(full, classes.select("digest", "id"))
-        found = connected_components(links(stars).union(same), "a", "b")
+        found = links(stars)
+        if not full.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+            found = found.union(shared_ids(full, classes.select("digest", "id")))
+        found = connected_components(found, "a", "b")
         own = _component(placed, found).select("band", "id", "component", "leader")
         leaders = found.select(F.col("id").alias("leader"), F.col("component").alias("of_leader"))
         own, _ = written(own.join(leaders, "leader", "left").withColumn("of_leader", F.coalesce("of_leader", "leader")).drop("leader"), "placed")
