@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sievemill.functions import tags
 from sievemill.functions import text as X
+from sievemill.sources import published as published_tables
 
 # Positions, types, and the display contract of a catalog in order.
 POSITIONS = ["main", "expand", "hidden"]
@@ -147,7 +148,7 @@ def load(df: DataFrame, expected: list[tuple[str, str, str]], pos: str, citation
 
 
 def save(rows: DataFrame, metadata: DataFrame, table: str = "database_info", columns: str = "display_columns") -> None:
-    """Replace the catalog's two tables."""
+    """Replace the catalog's two tables, one after the other; ``publish`` replaces them together."""
     from sievemill.sources.files import replace_table
 
     replace_table(rows, table)
@@ -160,3 +161,14 @@ def saved(spark, table: str = "database_info", columns: str = "display_columns")
     if missing:
         raise LookupError(f"missing tables: {', '.join(missing)}")
     return spark.table(table), spark.table(columns)
+
+
+def publish(rows: DataFrame, metadata: DataFrame, folder: str) -> int:
+    """Publish a catalog and its metadata together; the number of the version."""
+    return published_tables.publish(rows.sparkSession, folder, {"rows": rows, "metadata": metadata})
+
+
+def published(spark, folder: str, number: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The catalog and its metadata as they were published together, the last ones or those of a version."""
+    tables = published_tables.pinned(spark, folder, number)
+    return tables["rows"], tables["metadata"]

@@ -23,11 +23,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     both, edge_path = written(ends.union(ends.select("v", "u")).distinct(), "edges")
     labels, path = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).withColumnRenamed("u", "id"), "labels")
     while True:
-        told = both.join(labels.withColumnRenamed("id", "v"), "v").select(F.col("u").alias("id"), "label")
-        hooked, hooked_path = written(labels.union(told).groupBy("id").agg(F.min("label").alias("label")), "labels")
+        told = both.join(labels.select(F.col("id").alias("v"), "label"), "v").select(F.col("u").alias("id"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("was"))
+        own = labels.select("id", "label", F.col("label").alias("was"))
+        hooked, hooked_path = written(own.union(told).groupBy("id").agg(F.min("label").alias("label"), F.max("was").alias("was")), "labels")
         up = hooked.select(F.col("id").alias("label"), F.col("label").alias("further"))
-        jumped, jumped_path = written(hooked.join(up, "label").select("id", F.col("further").alias("label")), "labels")
-        moved = jumped.join(labels.withColumnRenamed("label", "was"), "id").filter("label <> was").limit(1).count()
+        jumped, jumped_path = written(hooked.join(up, "label").select("id", F.col("further").alias("label"), "was"), "labels")
+        moved = not jumped.filter("label <> was").isEmpty()
         remove(spark, path, hooked_path)
         labels, path = jumped, jumped_path
         if not moved:

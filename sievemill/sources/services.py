@@ -12,6 +12,7 @@ import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Any
 
 import pandas as pd
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 
 from sievemill.functions import text as X
 
+from .shared_tables import written
+
 Transport = Callable[[dict[str, Any]], dict[str, Any]]
 
 # Limits of the services, and statuses worth another try.
@@ -33,10 +36,12 @@ EDGE_COLUMNS = ["seed_pmid", "ref_source", "ref_id", "ref_title", "ref_doi", "re
 
 
 class RateLimit:
-    """At least 1/rate seconds between the calls of a worker; a global rate is shared out over partitions."""
+    """At least tasks/rate seconds between the calls of one of several tasks that run at once; the tasks' calls fall between one
+    another's. No rate is no limit."""
 
-    def __init__(self, rate: float, partitions: int = 1, clock=time.monotonic, sleep=time.sleep):
-        self.gap, self.next, self.clock, self.sleep = (partitions / rate if rate else 0.0), 0.0, clock, sleep
+    def __init__(self, rate: float, tasks: int = 1, clock=time.monotonic, sleep=time.sleep, task: int = 0):
+        self.gap, self.clock, self.sleep = (tasks / rate if rate else 0.0), clock, sleep
+        self.next = clock() + task / rate if rate else 0.0
 
     def wait(self) -> None:
         now = self.clock()
@@ -46,6 +51,24 @@ class RateLimit:
         self.next = now + self.gap
 
 
+def asked(df: DataFrame, run: Callable[[RateLimit], Callable], schema: str, rate: float) -> DataFrame:
+    """What ``run(gate)`` gives of the rows, written, so that a service is asked once. All tasks that share the rate run at once, in a
+    barrier stage of as many tasks as there are slots at most: each has its share of the rate, whatever the number of partitions
+    was. Executors that come and go rule barriers out; the tasks are as many then, too."""
+    spark = df.sparkSession
+    n = max(1, min(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
+    fixed = spark.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false") != "true"
+
+    def paced(found):
+        from pyspark import BarrierTaskContext, TaskContext
+
+        if fixed:
+            BarrierTaskContext.get().barrier()  # workers take their time to start, and a share of the rate is lost meanwhile
+        yield from run(RateLimit(rate, n, task=TaskContext.get().partitionId()))(found)
+
+    return written(df.repartition(n).mapInPandas(paced, schema, barrier=fixed), "answers")[0]
+
+
 def with_retries(call: Callable[[], dict], attempts: int = ATTEMPTS, sleep=time.sleep, most: float = 8.0) -> dict:
     """The answer, tried again with doubling pauses after an exception or a status worth it."""
     for n in range(attempts):
@@ -195,10 +218,8 @@ def search_years(spark: SparkSession, transport: Transport, query: str, years: l
 
 def fetch_references(pmids: DataFrame, transport: Transport, rate: float = 10.0) -> DataFrame:
     """Edges of what each PMID cites, page after page until one is empty; a failing PMID has one row with its ``error``."""
-    parts = max(1, pmids.rdd.getNumPartitions())
 
-    def run(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gate = RateLimit(rate, parts)
+    def run(gate: RateLimit, found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in found:
             for pmid in pdf.pmid:
                 rows, page = [], 1
@@ -215,21 +236,18 @@ def fetch_references(pmids: DataFrame, transport: Transport, rate: float = 10.0)
                     rows = [(pmid, "", "", "", "", "", str(e) or type(e).__name__)]
                 yield pd.DataFrame(rows, columns=[*EDGE_COLUMNS, "error"])
 
-    return pmids.select("pmid").mapInPandas(run, _text_schema([*EDGE_COLUMNS, "error"]))
+    return asked(pmids.select("pmid"), lambda gate: partial(run, gate), _text_schema([*EDGE_COLUMNS, "error"]), rate)
 
 
 def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50, rate: float = 9.0, sleep=time.sleep) -> DataFrame:
     """Details of (source, id) targets: batches of one source by one call, matched by key, and single calls for what a batch lacks.
-    Calls wait for the rate, which partitions share, and statuses worth it are tried again. A target that fails has its ``error``."""
-    parts = max(1, targets.rdd.getNumPartitions())
+    Calls wait for the rate, which all tasks share, and statuses worth it are tried again. A target that fails has its ``error``."""
 
     def key(a: dict) -> tuple[str, str]:
         source = str(a.get("source") or "")
         return source, str(a.get("id") or (a.get("pmid") if source == "MED" else a.get("pmcid") if source == "PMC" else "") or "")
 
-    def run(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gate = RateLimit(rate, parts)
-
+    def run(gate: RateLimit, found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def ask(request: dict) -> dict:
             gate.wait()
             answer = with_retries(lambda: transport(request), 1 + (ATTEMPTS - 1) * (rate > 0), sleep)
@@ -260,7 +278,7 @@ def fetch_details(targets: DataFrame, transport: Transport, batch: int = 50, rat
                         rows.append((source, x, *record, "" if a else why or "not found"))
             yield pd.DataFrame(rows, columns=["ref_source", "ref_id", *ARTICLE_COLUMNS, "error"])
 
-    return targets.select("ref_source", "ref_id").mapInPandas(run, _text_schema(["ref_source", "ref_id", *ARTICLE_COLUMNS, "error"]))
+    return asked(targets.select("ref_source", "ref_id"), lambda gate: partial(run, gate), _text_schema(["ref_source", "ref_id", *ARTICLE_COLUMNS, "error"]), rate)
 
 
 def citation_counts(dois: DataFrame, transport: Transport, batch: int = CITATION_BATCH) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Paths written within the scopes that are open, the innermost last; each thread has its own scopes.
@@ -83,21 +84,55 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file beside its place, then put it there: a reader sees the old text or the new one. Between the two steps the
-    new file alone may stand, which ``read_saved`` knows."""
-    system, p = _file(spark, path)
-    new = _file(spark, f"{path}.new")[1]
-    stream = system.create(new, True)
+def _write(system, p, text: str) -> None:
+    stream = system.create(p, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place, then put it there: a reader sees the old text or the new one. File systems that can
+    rename over a file do it in one step; with others the new file alone may stand for a moment, which ``read_saved`` knows."""
+    system, p = _file(spark, path)
+    new = _file(spark, f"{path}.new")[1]
+    _write(system, new, text)
+    hadoop, gateway = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
+    over = gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    try:
+        hadoop.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(new, p, over)
+        return
+    except Py4JJavaError:
+        pass
     system.delete(p, False)
     if not system.rename(new, p):
         raise OSError(f"cannot write {path}")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that does not exist yet, all at once; whether it was there not."""
+    system, p = _file(spark, path)
+    new = _file(spark, f"{path}.{uuid.uuid4().hex}")[1]
+    _write(system, new, text)
+    hadoop, gateway = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
+    try:
+        hadoop.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(new, p, gateway.new_array(hadoop.Options.Rename, 0))
+        return True
+    except Py4JJavaError:  # it is there
+        system.delete(new, False)
+        if not system.exists(p):
+            raise
+        return False
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that no scope knows."""
+    system, p = _file(spark, path)
+    system.delete(p, True)
+
+
 def read_saved(spark: SparkSession, path: str) -> str | None:
     """The text that ``write_text`` left, also where it was stopped before its last step; null if there is none."""
     for place in (path, f"{path}.new"):
