@@ -7,8 +7,9 @@ as long as the likelihood, less a penalty of half a log of the word count for ea
 the largest language of the set that is left, its proportion the score.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; rows with null ``lang`` teach nothing; with no
-labelled row at all everything is ``und``; null ``doc_id`` counts as not held out; repeated rows are judged each for itself.
-The model holds languages x buckets numbers.
+labelled row at all everything is ``und``; null ``doc_id`` counts as not held out; repeated rows are judged each for itself; of languages with
+equal proportions the first by name is predicted; a very long text is judged whole, its n-grams taken in pieces that end between
+words; an empty table gives no rows; added columns never clash, their names are given by the caller. The model holds languages x buckets numbers.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ngrams import Words
+from .ngrams import Words, cut
 from .shared import groups_of, text_views, trimmed
 from .toxicity import append_column, held_out
 
@@ -42,7 +43,13 @@ def _counts(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = batch.column(1).to_pylist()
         _, offsets = text_views(batch.column(0))
         for i, j in groups_of(offsets, SEGMENT):
-            words = Words([t or "" for t in batch.column(0).slice(i, j - i).to_pylist()])
+            texts = [t or "" for t in batch.column(0).slice(i, j - i).to_pylist()]
+            if j - i == 1 and len(texts[0]) > 2 * SEGMENT:
+                for piece in cut(texts[0].lower(), SEGMENT):
+                    bucket, _ = Words([piece]).grams(GRAM, BITS)
+                    sums[str(langs[i])] = sums.get(str(langs[i]), 0) + np.bincount(bucket, minlength=1 << BITS)
+                continue
+            words = Words(texts)
             bucket, word = words.grams(GRAM, BITS)
             own, codes = np.unique(np.array(langs[i:j], object).astype(str), return_inverse=True)
             lang = np.repeat(codes, np.diff(words.bounds))[word] if words.count else np.zeros(0, np.int64)
@@ -59,20 +66,32 @@ class Model:
     names: list[str]
     log_p: np.ndarray  # buckets x languages
 
-    def proportions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Each text's proportions over the languages of its chosen set, and whether it has a word."""
+    def _log_like(self, words: Words) -> np.ndarray:
+        """Log likelihood of each word under each language."""
+        bucket, word = words.grams(GRAM, BITS)
+        found = [np.bincount(word, self.log_p[bucket, k], words.count) for k in range(len(self.names))]
+        return np.stack(found, 1) if found else np.zeros((words.count, 0))
+
+    def _read(self, texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same of all texts' words in a row, and the words before each text and the end."""
+        if len(texts) == 1 and len(texts[0]) > 2 * size:
+            found = np.concatenate([self._log_like(Words([piece])) for piece in cut(texts[0].lower(), size)])
+            return found, np.array([0, len(found)])
         words = Words(texts)
+        return self._log_like(words), words.bounds
+
+    def proportions(self, texts: list[str], size: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's proportions over the languages of its chosen set, and whether it has a word."""
+        log_like, bounds = self._read(texts, size)
         n_lang, n_text = len(self.names), len(texts)
-        n_words = np.diff(words.bounds)
+        n_words = np.diff(bounds)
         some = np.flatnonzero(n_words)
         out = np.zeros((n_text, n_lang))
-        if not words.count or not n_lang:
+        if not len(some) or not n_lang:
             return out, n_words > 0
-        bucket, word = words.grams(GRAM, BITS)
-        log_like = np.stack([np.bincount(word, self.log_p[bucket, k], words.count) for k in range(n_lang)], 1)
         log_like -= log_like.max(1, keepdims=True)
-        like = np.maximum(np.exp(log_like), 1e-12)
-        starts = words.bounds[:-1][some]
+        like = np.maximum(np.exp(log_like, out=log_like), 1e-12)
+        starts = bounds[:-1][some]
         doc = np.repeat(np.arange(len(some)), n_words[some])
         size = n_words[some][:, None].astype(float)
 

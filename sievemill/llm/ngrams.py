@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from . import pieces
@@ -11,6 +13,17 @@ _BASE = np.uint32(0x01000193)
 _MIX = np.uint32(0x9E3779B1)
 
 
+def cut(text: str, size: int) -> Iterator[str]:
+    """Pieces of at least ``size`` characters of a text, none of which ends within a word."""
+    kind, at = pieces.classes(), 0
+    while at < len(text):
+        end = min(at + size, len(text))
+        while end < len(text) and kind[ord(text[end])] in (pieces.LETTER, pieces.NUMBER):
+            end += 1
+        yield text[at:end]
+        at = end
+
+
 class Words:
     """The lower-cased words of some texts: runs of letters (and numbers), each between single blanks."""
 
@@ -34,14 +47,16 @@ class Words:
         self.bounds = np.searchsorted(begins, heads)
         self.count = len(begins)
 
+    def hashes(self) -> np.ndarray:
+        """A hash of each word."""
+        blanks = np.flatnonzero(self.codes == _SPACE)
+        return pieces.hashes(self.codes, blanks[:-1] + 1, blanks[1:]) if self.count else np.zeros(0, np.uint64)
+
     def first_of_each(self) -> np.ndarray:
         """Whether a word is the first of its kind in its text."""
         first = np.zeros(self.count, bool)
-        if self.count:
-            blanks = np.flatnonzero(self.codes == _SPACE)
-            doc = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds)).astype(np.uint64)
-            hashed = pieces.hashes(self.codes, blanks[:-1] + 1, blanks[1:]) ^ doc * np.uint64(0x9E3779B97F4A7C15)
-            first[np.unique(hashed, return_index=True)[1]] = True
+        doc = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds)).astype(np.uint64)
+        first[np.unique(self.hashes() ^ doc * np.uint64(0x9E3779B97F4A7C15), return_index=True)[1]] = True
         return first
 
     def grams(self, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:

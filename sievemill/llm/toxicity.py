@@ -10,8 +10,9 @@ The labelled sample that the driver fits on is bounded by ``PER_CLASS`` and ``SA
 
 Defined results: a null or empty text, or one without letters or digits, has the score of the bias alone; null ``doc_id``
 counts as not held out; repeated rows are scored each for itself; labels that are null, repeated for one id (the highest
-counts) or without a document are harmless; of an id's several texts the smallest is learned from; without labels of both classes every score is the share of toxic labels (0 if
-none). Added columns never clash: their names are given by the caller.
+counts) or without a document are harmless; of an id's several texts the smallest is learned from; without labels of both classes
+every score is the share of toxic labels (0 if none); a very long text is scored whole, in pieces that end between words; an empty
+table gives no rows. Added columns never clash: their names are given by the caller.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ngrams import Words
+from .ngrams import Words, cut
 from .shared import groups_of, text_views, trimmed
 
 GRAMS = (3, 4, 5, 6)
@@ -85,11 +86,41 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def scores(self, texts: list[str]) -> np.ndarray:
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of weights and number of n-grams of each block, and each text's first block."""
         bucket, at, first = bags(texts)
         n = int(first[-1])
-        sums = np.bincount(at, self.weights[bucket], n)
-        best = np.maximum.reduceat(windows(sums, np.bincount(at, minlength=n), first), first[:-1])
+        return np.bincount(at, self.weights[bucket], n), np.bincount(at, minlength=n), first
+
+    def sums_of_long(self, text: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of one text, a piece at a time; what is kept of a piece is the hashes of its words and its blocks' sums."""
+        seen, done = np.zeros(0, np.uint64), 0
+        sums, counts = np.zeros(1), np.zeros(1, np.int64)
+        for piece in cut(text.lower(), size):
+            words = Words([piece], numbers=True)
+            hashed = words.hashes()
+            new, places = np.unique(hashed, return_index=True)
+            at = np.searchsorted(seen, new)
+            known = np.zeros(len(new), bool)
+            known[at < len(seen)] = seen[at[at < len(seen)]] == new[at < len(seen)]
+            first = np.zeros(words.count, bool)
+            first[places[~known]] = True
+            seen = np.insert(seen, at[~known], new[~known])
+            block = (done + np.cumsum(first) - first) // HALF
+            done += int(first.sum())
+            more = max(1, -(-done // HALF)) - len(sums)
+            sums, counts = np.append(sums, np.zeros(more)), np.append(counts, np.zeros(more, np.int64))
+            for n in GRAMS:
+                bucket, word = words.grams(n, BITS)
+                own = block[word[first[word]]]
+                sums += np.bincount(own, self.weights[bucket[first[word]]], len(sums))
+                counts += np.bincount(own, minlength=len(sums))
+        return sums, counts, np.array([0, len(sums)])
+
+    def scores(self, texts: list[str], size: int = SEGMENT) -> np.ndarray:
+        long = len(texts) == 1 and len(texts[0]) > 2 * size
+        sums, counts, first = self.sums_of_long(texts[0], size) if long else self.sums(texts)
+        best = np.maximum.reduceat(windows(sums, counts, first), first[:-1])
         return 1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30)))
 
 

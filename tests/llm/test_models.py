@@ -231,3 +231,50 @@ def test_training_does_not_depend_on_the_order_of_texts(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
     a, b = (toxicity.train(cases.documents(spark, r).repartition(n), labels) for r, n in ((rows, 2), (rows[::-1], 5)))
     assert np.array_equal(a.weights, b.weights) and a.weights.any()
+
+
+ODD = "Ünïcode ΟΔΟΣ x1²½ don't\n" + "z" * 700 + " 日本語 … İstanbul\t"
+
+
+def test_pieces_of_a_long_text_give_what_the_whole_gives():
+    from sievemill.llm.ngrams import cut
+
+    text = ODD + cases.text(3000, 4) + ODD + "scoundrel " + cases.text(2000, 5).upper()
+    for size in (1, 64, 1000):
+        pieces = list(cut(text, size))
+        assert "".join(pieces) == text and sum(Words([p], numbers=True).count for p in pieces) == Words([text], numbers=True).count
+    texts, y = toy(120, 1)
+    model = toxicity.fit(texts, y, 0.33)
+    whole = model.sums([text.lower()])
+    for size in (50, 777):
+        for a, b in zip(whole, model.sums_of_long(text, size), strict=True):
+            assert np.allclose(a, b)
+        assert np.allclose(model.scores([text], size), model.scores([text]))
+    assert np.allclose(model.scores(["..." * 500], 100), model.scores([""]))
+    rng = np.random.default_rng(1)
+    mixture = language.Model(["a", "b", "c"], np.log(rng.dirichlet(np.ones(1 << language.BITS), 3).T).astype(np.float32))
+    for size in (50, 777):
+        assert np.allclose(mixture.proportions([text], size)[0], mixture.proportions([text])[0])
+    assert not mixture.proportions(["123 " * 500], 100)[1].any()
+
+
+def test_a_text_of_forty_megabytes_takes_bounded_memory():
+    """In a process of its own, whose peak is measured."""
+    import subprocess
+    import sys
+    import textwrap
+
+    code = """
+        import resource, sys
+        import numpy as np
+        from sievemill.llm import toxicity
+        words = [f"w{k}" for k in range(200_000)]
+        text = " ".join(words) + " " + " ".join(words[:1000]) * 6000
+        assert len(text) > 30_000_000
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        model = toxicity.Model(np.zeros(1 << toxicity.BITS, np.float32), 0.0)
+        assert model.scores([text])[0] == 0.5
+        print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+    """
+    out = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True, check=True, timeout=600, cwd=Path(__file__).parents[2])
+    assert int(out.stdout) < 1000
