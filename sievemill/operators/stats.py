@@ -38,12 +38,19 @@ def exclusive(df: DataFrame, label: Column, total: int) -> DataFrame:
     return df.groupBy(label.alias("label")).agg(F.count("*").alias("n")).withColumn("pct", share(F.col("n"), total))
 
 
-def token_sets(df: DataFrame, column: str, labels: dict[str, str]) -> DataFrame:
-    """Rows with the label of their set of tokens; order and case of tokens don't matter. A set without a label has null."""
+def token_sets(df: DataFrame, column: str, labels: dict[str, str], other: str | None = None) -> DataFrame:
+    """Rows with the label of their set of tokens; order and case of tokens don't matter. A set without a label has ``other``, or is
+    an error where there is none: then the sets are looked over at once."""
     key = tags.set_key(tags.split_tags(F.col(column)))
     table = {tags_key(k): v for k, v in labels.items()}
     pairs = [F.lit(v) for kv in table.items() for v in kv]
-    return df.withColumn("label", F.try_element_at(F.create_map(*pairs), key))
+    label = F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None).cast("string")
+    if other is not None:
+        return df.withColumn("label", F.coalesce(label, F.lit(other)))
+    bad = df.filter(label.isNull()).select(key.alias("key")).distinct().orderBy("key").limit(5).collect()
+    if bad:
+        raise ValueError(f"{column} has sets without a label: {', '.join(r.key or '<blank>' for r in bad)}")
+    return df.withColumn("label", label)
 
 
 def tags_key(text: str) -> str:

@@ -208,6 +208,16 @@ def final_review_limit(n: int) -> int:
     return max(1, math.ceil(n / 20)) if n else 0
 
 
+def chunk_review_limits(n: Column) -> Column:
+    """``chunk_review_limit`` of a column of counts."""
+    return F.floor(n * 0.05)
+
+
+def final_review_limits(n: Column) -> Column:
+    """``final_review_limit`` of a column of counts."""
+    return F.when(n > 0, F.greatest(F.lit(1).cast("long"), F.ceil(n / 20))).otherwise(F.lit(0).cast("long"))
+
+
 def curation_rules() -> list[Rule]:
     """All rules of a curated chunk, in the order in which they are judged."""
     return [
@@ -286,13 +296,13 @@ def visit_rules() -> list[Rule]:
     live, dead, yes = c("accessibility") == "live", c("accessibility") == "dead", c("db_type_confirmation") == "yes"
     visit, asked = c("visit_status"), c("automatic_status") == "continue_required"
     return [
-        ("representative", "invalid canonical/representative assignment", (text("canonical") == "") | ~F.array_contains(members, X.clean_id(F.col("representative"))), F.col("representative")),
+        ("representative", "the representative has to be a member and the canonical name given", (text("canonical") == "") | ~F.array_contains(members, X.clean_id(F.col("representative"))), F.col("representative")),
         ("visit_status", "invalid visit status", ~visit.isin(VISIT_STATUS), visit),
         ("checked_url", "live row lacks a checked URL", live & ~is_http_url(text("checked_url")), F.col("checked_url")),
         ("click_path", "continue-required row lacks a click path", asked & (text("click_path") == ""), F.col("click_path")),
-        ("visit_status", "live yes database was not entered", yes & live & ~visit.isin("entered_database", "restricted"), visit),
-        ("visit_status", "continue-required yes database was not entered", yes & live & asked & (visit != "entered_database"), visit),
-        ("visit_status", "dead yes database was not confirmed", yes & dead & (visit != "confirmed_dead"), visit),
+        ("visit_status", "a live resource decided yes has to be entered", yes & live & ~visit.isin("entered_database", "restricted"), visit),
+        ("visit_status", "a resource behind a continue page has to be entered", yes & live & asked & (visit != "entered_database"), visit),
+        ("visit_status", "a dead resource decided yes has to be confirmed dead", yes & dead & (visit != "confirmed_dead"), visit),
         ("review_statement", "review statement too short", F.length(text("review_statement")) < STATEMENT_CHARS[0], F.col("review_statement")),
     ]
 
@@ -332,7 +342,8 @@ def review_manifest(spark, chunks: dict[str, tuple[DataFrame, DataFrame | None]]
         other = policy_mismatches(earlier.filter(X.clean(F.col("policy_version")) != ""), "policy_version", policy)
         if other:
             raise ValueError(f"policy version is {', '.join(other)} in the manifest, not {policy}")
-    rows = [(k, *(check(result, source)[c] for c in ("status", "input_rows", "result_rows", "error")), policy) for k, (source, result) in sorted(chunks.items())]
+    said = {k: check(result, source) for k, (source, result) in sorted(chunks.items())}
+    rows = [(k, *(v[c] for c in ("status", "input_rows", "result_rows", "error")), policy) for k, v in said.items()]
     return spark.createDataFrame(rows, "chunk_id string, status string, input_rows long, result_rows long, error string, policy_version string")
 
 

@@ -36,9 +36,9 @@ def violations_report(spark, sf):
 
 @query("SELECT quality AS grp, count(*) AS n, CAST(count_if(toxic = 1) AS BIGINT) AS manual, CAST(floor(count(*) * 0.05) AS BIGINT) AS chunk_limit, greatest(1, CAST(ceil(count(*) / 20.0) AS BIGINT)) AS final_limit, count_if(toxic = 1) > floor(count(*) * 0.05) AS exceeded FROM labels GROUP BY quality")
 def manual_limit(spark, sf):
-    rows = table(spark, sf, "labels").groupBy(F.col("quality").alias("grp")).agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("manual")).collect()  # two groups
-    out = [(r.grp, r.n, r.manual, validate.chunk_review_limit(r.n), validate.final_review_limit(r.n), r.manual > validate.chunk_review_limit(r.n)) for r in rows]
-    return spark.createDataFrame(out, "grp int, n long, manual long, chunk_limit long, final_limit long, exceeded boolean")
+    rows = table(spark, sf, "labels").groupBy(F.col("quality").alias("grp")).agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("manual"))
+    limits = rows.withColumns({"chunk_limit": validate.chunk_review_limits(F.col("n")), "final_limit": validate.final_review_limits(F.col("n"))})
+    return limits.withColumn("exceeded", F.col("manual") > F.col("chunk_limit"))
 
 
 def _reviewed(spark, sf):

@@ -11,6 +11,7 @@ from sievemill.functions import ids, model_output, urls
 from sievemill.functions import text as X
 from sievemill.operators import dedup, link, screen
 from sievemill.sources import services
+from sievemill.sources.shared_tables import written
 
 from .state import Stages, resume_map
 
@@ -123,6 +124,11 @@ def curation_table(rows: DataFrame, policy: str, pos: str = "pos") -> DataFrame:
     return numbered.select(pos, *[F.col("_id").cast("string").alias("id") if c == "id" else made.get(c, F.lit("")).alias(c) for c in CURATION])
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """The rows with their place, ``pos``, written: it is the same however often they are read."""
+    return written(rows.withColumn("pos", F.monotonically_increasing_id()), "placed")[0]
+
+
 def run(spark: SparkSession, config: Config) -> DataFrame:
     """The funnel up to the curation table; every stage is written once and reused when the run is resumed. Details and answers that
     failed are asked for again then, and what follows from them is made anew; ``Paused`` says that answers are left to ask for."""
@@ -131,10 +137,10 @@ def run(spark: SparkSession, config: Config) -> DataFrame:
     found = stages.run("search", lambda: services.search_years(spark, t["search"], config.query, services.parse_years(config.years), config.most_per_year, config.page_size))
     seed = stages.run("seeds", lambda: dedup.seed_articles(found, config.dedupe_order, "pos", config.most_seeds))
     edges = stages.run("references", lambda: services.fetch_references(dedup.seed_pmids(seed, "pos"), t["references"]))
-    targets = dedup.reference_targets(edges.withColumn("pos", F.monotonically_increasing_id()), "pos")
+    targets = dedup.reference_targets(placed(edges), "pos")
     targets = targets.withColumn("detail_key", ids.detail_key(F.col("ref_source"), F.col("ref_id")))
     details = stages.answer("details", targets, "detail_key", detailed(t["details"], config.detail_batch, config.detail_rate)).drop("detail_key")
-    detail = stages.run("cited", lambda: dedup.reference_details(details.withColumn("pos", F.monotonically_increasing_id()), "pos"))
+    detail = stages.run("cited", lambda: dedup.reference_details(placed(details), "pos"))
     kept = stages.run("screened", lambda: screened(seed.drop("year_window"), detail.drop("ref_source", "ref_id"), config.pattern, config.scope))
     with_text, _ = screen.split_missing(kept)
     papers = keyed_papers(with_text)

@@ -120,11 +120,11 @@ SELECT o_orderkey AS row_pos, 'dead evidence must be publication' AS rule FROM o
 UNION ALL SELECT o_orderkey, 'live evidence must be official' FROM orders WHERE o_orderkey % 3 = 1
 UNION ALL SELECT o_orderkey, 'none conflicts with neural metadata' FROM orders WHERE o_orderkey % 5 = 0
 UNION ALL SELECT o_orderkey, 'invalid visit status' FROM orders WHERE o_orderkey % 7 = 0
-UNION ALL SELECT o_orderkey, 'live yes database was not entered' FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0
-UNION ALL SELECT o_orderkey, 'dead yes database was not confirmed' FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, 'a live resource decided yes has to be entered' FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0
+UNION ALL SELECT o_orderkey, 'a dead resource decided yes has to be confirmed dead' FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL SELECT o_orderkey, 'continue-required row lacks a click path' FROM orders WHERE o_orderkey % 11 = 0
-UNION ALL SELECT o_orderkey, 'continue-required yes database was not entered' FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0
-UNION ALL SELECT o_orderkey, 'invalid canonical/representative assignment' FROM orders WHERE o_orderkey % 13 = 0
+UNION ALL SELECT o_orderkey, 'a resource behind a continue page has to be entered' FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 7 = 0 AND o_orderkey % 3 <> 0
+UNION ALL SELECT o_orderkey, 'the representative has to be a member and the canonical name given' FROM orders WHERE o_orderkey % 13 = 0
 UNION ALL SELECT o_orderkey, 'live row lacks a checked URL' FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey % 3 <> 0
 UNION ALL SELECT o_orderkey, 'review statement too short' FROM orders WHERE o_orderkey % 19 = 0
 """

@@ -42,7 +42,7 @@ SELECT CASE WHEN key = 'click;view' THEN 'Browsing' WHEN key = 'click' THEN 'Cli
 )
 def token_set_breakdown(spark, sf):
     cells = table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.array_join(F.collect_list(F.upper("event_type")), "; ").alias("cell"))
-    labelled = stats.token_sets(cells, "cell", {"view;click": "Browsing", "click": "Clicks"}).withColumn("label", F.coalesce("label", F.lit("Other")))
+    labelled = stats.token_sets(cells, "cell", {"view;click": "Browsing", "click": "Clicks"}, "Other")
     return labelled.groupBy("label", stats.how_many(labelled, "cell").alias("breadth")).agg(F.count("*").alias("n"))
 
 

@@ -20,6 +20,14 @@ class Paused(RuntimeError):
     """A stage has not done all of its rows; the same run goes on when it is resumed."""
 
 
+class NotEnabled(ValueError):
+    """A stage is needed that the run may not do and has not done."""
+
+    def __init__(self, stage: str):
+        super().__init__(f"stage {stage} is needed but neither enabled nor complete")
+        self.stage = stage
+
+
 def now() -> str:
     return time.strftime("%Y-%m-%dT%H:%M:%S")
 
@@ -105,7 +113,7 @@ class Stages:
         if not self.anew and name in state.completed_stages and not state.failed(name) and path and exists(self.spark, path):
             return self.spark.read.parquet(path)
         if self.enabled is not None and name not in self.enabled:
-            raise ValueError(f"stage {name} is needed but neither enabled nor complete")
+            raise NotEnabled(name)
         state.current_stage = name
         return None
 

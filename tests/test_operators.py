@@ -362,8 +362,10 @@ def test_two_levels(spark):
 
 def test_breakdowns(spark):
     df = frame(spark, "id int, c string", (1, "Bulk; single_cell"), (2, "single_cell;bulk"), (3, "bulk"), (4, "odd"))
-    out = stats.token_sets(df, "c", {"bulk;single_cell": "Both", "bulk": "Bulk"})
-    assert rows_of(out.orderBy("id"), "label") == ["Both", "Both", "Bulk", None]
+    known = {"bulk;single_cell": "Both", "bulk": "Bulk"}
+    assert rows_of(stats.token_sets(df, "c", known, "None").orderBy("id"), "label") == ["Both", "Both", "Bulk", "None"]
+    with pytest.raises(ValueError, match="c has sets without a label"):
+        stats.token_sets(df, "c", known)
     counts = stats.exclusive(df, F.when(F.col("id") < 3, F.lit("x")).otherwise(F.lit("y")), 4)
     assert rows_of(stats.ordered(counts, ["y", "x"]), "label", "n", "pct") == [("y", 2, 50.0), ("x", 2, 50.0)]
     with pytest.raises(ValueError):

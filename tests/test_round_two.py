@@ -6,7 +6,7 @@ from test_sources import article, config
 
 from sievemill.operators import catalog, link, resolve, stats, validate
 from sievemill.plans import funnel, state
-from sievemill.sources import files, services, shared_tables
+from sievemill.sources import services, shared_tables
 
 
 def dois(spark, *found):
