@@ -1,7 +1,11 @@
 """Awkward rows that every operator has to get through."""
 
+from pathlib import Path
+
 from pyspark.sql import types as T
 
+from sievemill.llm.shared import shared_dir
+
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("score", T.StringType()), T.StructField("component_id", T.StringType())])
 WORDS = "and the of nd ing er th on re at en ou ha it st is ed or ti hi as to".split()
 
@@ -25,3 +29,8 @@ TEXTS = [
 def documents(spark, rows=None):
     rows = TEXTS if rows is None else rows
     return spark.createDataFrame([(i, t, "en" if i and i % 2 else None, "s", len(t) if t else None, "x", "y") for i, t in rows], SCHEMA)
+
+
+def written_tables(spark):
+    """Paths of the intermediate tables that are there."""
+    return set(Path(shared_dir(spark).removeprefix("file://")).glob("sievemill-*/*"))

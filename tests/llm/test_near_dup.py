@@ -161,11 +161,9 @@ def test_texts_that_share_an_id_are_one_document(spark):
 
 
 def test_written_tables_go(spark):
-    from sievemill.llm.shared import shared_dir
-
-    before = set(Path(shared_dir(spark).removeprefix("file://")).iterdir())
+    before = cases.written_tables(spark)
     near_dup.near_duplicates(cases.documents(spark)).count()
-    assert len(set(Path(shared_dir(spark).removeprefix("file://")).iterdir()) - before) == 1
+    assert len(cases.written_tables(spark) - before) == 1
 
 
 def test_recall_over_ten_thousand_documents(spark):

@@ -56,11 +56,7 @@ def test_columns_of_any_name_pass_through(spark, tmp_path):
 
 
 def test_all_but_the_result_is_removed(spark, tmp_path):
-    from pathlib import Path
-
-    from sievemill.llm.shared import shared_dir
-
     at = tables(spark, tmp_path, cases.TEXTS[:6])
-    before = set(Path(shared_dir(spark).removeprefix("file://")).iterdir())
+    before = cases.written_tables(spark)
     C.run(spark, at).count()
-    assert [p.name.split("-")[0] for p in set(Path(shared_dir(spark).removeprefix("file://")).iterdir()) - before] == ["packing"]
+    assert [p.name.split("-")[0] for p in cases.written_tables(spark) - before] == ["packing"]
