@@ -12,7 +12,7 @@ import pyarrow as pa
 
 from sievemill.sources.shared_tables import exists, new_path, only, remove, shared_dir, written
 
-__all__ = ["exists", "free_name", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "trimmed", "written"]
+__all__ = ["exists", "free_name", "give_back", "groups_of", "new_path", "only", "ragged", "remove", "shared_dir", "text_views", "trimmed", "written"]
 
 
 def free_name(columns: list[str], wanted: str) -> str:
@@ -23,6 +23,14 @@ def free_name(columns: list[str], wanted: str) -> str:
     return wanted
 
 
+def give_back() -> None:
+    """Give the memory of what was freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def trimmed(run: Callable) -> Callable:
     """A generator that gives memory back when it ends: Python workers live on and serve other stages beside the JVM."""
 
@@ -31,10 +39,7 @@ def trimmed(run: Callable) -> Callable:
         try:
             yield from run(*args)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-                trim(0)
+            give_back()
 
     return inner
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import unicodedata
 import zlib
 from pathlib import Path
@@ -30,6 +31,24 @@ def toy(n, seed, odd=()):
     return texts, np.array(y, int)
 
 
+def test_training_keeps_few_bytes_for_each_n_gram():
+    texts = [" ".join(f"w{i}x{k}abcdefgh" for k in range(400)) for i in range(120)]
+    kept = [toxicity.bags([t]) for t in texts]
+    grams = sum(len(bucket) for bucket, _, _ in kept)
+    for own in kept:
+        assert all(np.array_equal(x, y) for x, y in zip(own, toxicity.narrow(*own), strict=True))
+    held, bags = [], toxicity.bags
+    del kept, own
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "bags", lambda t: held.append(tracemalloc.get_traced_memory()[0]) or bags(t))
+        tracemalloc.start()
+        try:
+            toxicity.fit(texts, np.arange(120) % 2, 0.5, epochs=0)
+        finally:
+            tracemalloc.stop()
+    assert (held[-1] - held[0]) < 8 * grams
+
+
 def test_toxic_words_and_their_misspellings():
     texts, y = toy(300, 1)
     model = toxicity.fit(texts, y, 0.33)
