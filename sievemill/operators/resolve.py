@@ -237,22 +237,32 @@ def apply_incremental(final: DataFrame, decisions: DataFrame, row_id: str = "id"
     return kept, audit
 
 
-def canonical_groups(reviewed: DataFrame, row_id: str = "id", group: str = "group", members: str = "members", canonical: str = "canonical", representative: str = "representative", flag: str = "original48", decision: str | None = None) -> DataFrame:
+def canonical_groups(reviewed: DataFrame, row_id: str = "id", group: str = "group", members: str = "members", canonical: str = "canonical", representative: str = "representative", flag: str = "original48", decision: str | None = None, candidates: DataFrame | None = None) -> DataFrame:
     """Reviewed rows, with ``decision`` those decided yes, by candidate group (or row) and canonical name: ``group_key, canonical, representative, member_ids, removed_ids,
     member_count, flag, rule``. The rule names what contradicts: members outside a candidate group, several representatives, or one
-    that is no member; it is null for a good group."""
+    that is no member; it is null for a good group. ``candidates``: ``group, id`` of the candidate groups' members, in place of the
+    column ``members``, which holds the list of a group of g rows g times; each row then meets its own entry, and one without a
+    group stands for itself."""
     text, own = lambda c: X.clean(F.col(c)), lambda c: X.clean_id(F.col(c))
     if decision is not None:
         reviewed = reviewed.filter(F.lower(text(decision)) == "yes")
     key = F.coalesce(F.when(text(group) != "", text(group)), F.concat(F.lit("row:"), own(row_id)))
+    if candidates is None:
+        lists = F.collect_set(F.array_sort(F.transform(tags.split_tags(F.col(members)), X.clean_id)))
+        foreign = F.exists("allowed", lambda a: F.size(F.array_except("ids", a)) > 0)
+    else:
+        asked = candidates.select(X.clean(F.col("group")).alias("_of"), X.clean_id(F.col("id")).alias("_asked")).distinct()
+        reviewed = reviewed.withColumn("_own", own(row_id)).withColumn("_group", text(group)).join(asked, (F.col("_group") == F.col("_of")) & (F.col("_own") == F.col("_asked")), "left")
+        lists = F.bool_or(F.col("_asked").isNull() & (F.col("_group") != ""))
+        foreign = F.col("allowed")
     g = reviewed.groupBy(key.alias("group_key"), text(canonical).alias("canonical")).agg(
         X.ordered_ids(F.collect_set(own(row_id))).alias("ids"),
         F.collect_set(own(representative)).alias("reps"),
-        F.collect_set(F.array_sort(F.transform(tags.split_tags(F.col(members)), X.clean_id))).alias("allowed"),
+        lists.alias("allowed"),
         F.bool_or(F.lower(text(flag)) == "yes").alias("any"),
     )
     rule = (
-        F.when(F.exists("allowed", lambda a: F.size(F.array_except("ids", a)) > 0), F.lit("outside its candidate group"))
+        F.when(foreign, F.lit("outside its candidate group"))
         .when(F.size("reps") != 1, F.lit("several representatives"))
         .when(~F.array_contains("ids", F.element_at("reps", 1)), F.lit("representative is no member"))
     )

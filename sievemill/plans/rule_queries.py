@@ -179,8 +179,9 @@ SELECT grp AS group_key, CASE WHEN n = 4 THEN '0' ELSE CAST(first AS VARCHAR) EN
 )
 def canonical_groups(spark, sf):
     rows = _decided(spark, sf)
-    members = rows.groupBy("group").agg(F.array_join(F.collect_list("id"), "; ").alias("members"))
-    out = resolve.canonical_groups(rows.join(members, "group").withColumn("original48", F.lit("no")))
+    nation, segment = F.col("c_nationkey").cast("string"), F.col("c_mktsegment")
+    candidates = table(spark, sf, "customer").select(F.concat(nation, F.lit("-"), segment).alias("group"), F.col("c_custkey").cast("string").alias("id"))
+    out = resolve.canonical_groups(rows.withColumn("original48", F.lit("no")), candidates=candidates)
     return out.select("group_key", "representative", "member_ids", "removed_ids", "member_count", "rule")
 
 

@@ -167,6 +167,30 @@ def test_merge_decisions(spark):
     assert sorted(rows_of(resolve.check_decisions(decisions), "group", "rule")) == [("g", "foreign_representative"), ("g", "several_representatives")]
 
 
+def test_canonical_groups_by_a_table_of_candidates(spark):
+    rows = [("1", "g", "A", "1", "1; 2"), ("2.0", "g", "A", "1", "1; 2"), ("3", "h", "B", "3", "4;5"), ("4", "h", "C", "4", "4;5"), ("5", "h", "C", "5", "4;5"), ("6", " ", "D", "7", "6"), ("8", None, "E", "8", "8")]
+    df = frame(spark, "id string, group string, canonical string, representative string, members string", *rows).withColumn("original48", F.lit("no"))
+    candidates = frame(spark, "group string, id string", ("g ", "1"), ("g", "2"), ("g", "2"), ("g", "9"), ("h", "4"), ("h", "5"), (None, "3"))
+    columns = ("group_key", "canonical", "representative", "member_ids", "removed_ids", "member_count", "flag", "rule")
+    by_list = sorted(rows_of(resolve.canonical_groups(df), *columns))
+    by_table = sorted(rows_of(resolve.canonical_groups(df.drop("members"), candidates=candidates), *columns))
+    assert by_table == by_list
+    assert [(r[0], r[3], r[7]) for r in by_table] == [("g", "1;2", None), ("h", "3", "outside its candidate group"), ("h", "4;5", "several representatives"), ("row:6", "6", "representative is no member"), ("row:8", "8", None)]
+
+
+def test_canonical_groups_repeats_no_list(spark, tmp_path):
+    from sievemill.plans import rule_queries
+
+    n = 3000  # one group, whose rows would hold 3,000 times a list of 3,000 ids
+    spark.range(n).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"), F.lit("A").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    before = written()
+    out = rule_queries.canonical_groups(spark, str(tmp_path))
+    out.write.format("noop").mode("overwrite").save()
+    assert written() - before < 200 * n
+    assert out.filter("rule is null and member_count = 1").count() == n
+
+
 def test_incremental_groups(spark):
     df = frame(spark, "id int", (1,), (2,), (3,), (4,))
     out = resolve.incremental_groups(df, frame(spark, "id int, name string", (1, "a"), (2, "a")), frame(spark, "id int, group string", (2, "g"), (3, "g"), (4, "h")))
