@@ -11,8 +11,8 @@ once, packed with zstandard.
 ``near_documents`` cuts fingerprints into bands. Texts of equal shingle sets are one class before anything else. Each class is
 joined with the smallest class of each of its band values, the pairs are verified by Jaccard similarity on full sets of five-word
 shingles, and components follow. Whoever is not in the component of its band's smallest class is then joined with all the band's
-classes that lie in other components, where set sizes and a sketch of 1,024 bins, compared inside the join, keep what may reach the
-threshold. No pair within a component is formed, and none that shares a band and lies across components is left out but by the
+classes that lie in other components: a band's classes come in blocks, two of which are a row, and set sizes and a sketch of 1,024
+bins, compared in numpy, keep what may reach the threshold. No pair within a component is formed, and none that shares a band and lies across components is left out but by the
 sketch, 4.5 deviations under the threshold.
 
 Defined results: null and empty texts, and texts of white space, have the fingerprint of the empty set, whose likeness to one
@@ -41,12 +41,15 @@ from pyspark.sql import functions as F
 
 from sievemill.operators.components import connected_components
 
-from .near_dup import BINS, DEVIATIONS, SHINGLE, THRESHOLD, confirmed, shared_ids, shingle_sets, texts_of, wide_sketch, word_hashes
+from .near_dup import BINS, DEVIATIONS, SHINGLE, THRESHOLD, _fits, _fixed, _may_be_linked, confirmed, shared_ids, shingle_sets, texts_of, wide_sketch, word_hashes
 from .shared import groups_of, only, ragged, text_views, trimmed, written
 
 HASHES = 64
 BANDS = 16
 SEGMENT = 1 << 20
+#: Classes of a band in a block, and pairs that are compared at once.
+BLOCK = 512
+AT_ONCE = 1 << 14
 #: Words of a wide sketch: the bins that a set fills, and a bit of each.
 WORDS = 2 * BINS // 64
 
@@ -252,8 +255,7 @@ def _sketches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_views(batch.column(1))
         for i, j in groups_of(offsets, SEGMENT):
             sets = shingle_sets(data[int(offsets[i]) : int(offsets[j])], offsets[i : j + 1] - offsets[i])
-            words = np.frombuffer(b"".join(wide_sketch(x) for x in sets), np.int64)
-            wide = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * WORDS), pa.array(words))
+            wide = pa.array([wide_sketch(x) for x in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), wide], names=["id", "size", "wide"])
 
 
@@ -271,6 +273,49 @@ def may_be_linked(x: str, y: str) -> Column:
     return F.expr(f"{sizes} AND 2 * {equal} - {both} >= {least} * {either} - {DEVIATIONS} * sqrt({spread})")
 
 
+def _in_blocks(own: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``band, out, block, rows``: the classes of bands that hold some outside the component of their smallest class, those outside
+    (``out``) and the others apart, in blocks of about BLOCK, with sizes and sketches. ``own``: ``band, id, component, of_leader``."""
+    mixed = own.groupBy("band").agg(F.count("*").alias("n"), F.bool_or(F.col("component") != F.col("of_leader")).alias("any")).filter("any").select("band", "n")
+    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    dealt = own.join(mixed, "band").select("band", (F.col("component") != F.col("of_leader")).alias("out"), block, "id", "component")
+    return dealt.join(sketches, "id").groupBy("band", "out", "block").agg(F.collect_list(F.struct("id", "component", "size", "wide")).alias("rows"))
+
+
+@trimmed
+def _near_in_blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of two blocks' rows, or of one block's with itself, that lie in different components and may reach the threshold."""
+    for batch in found:
+        itself = batch.column(2).to_pylist()
+        for k, same in enumerate(itself):
+            (a, ca, na, wa), (b, cb, nb, wb) = (_columns(batch.column(c)[k].values) for c in (0, 1))
+            step = max(1, AT_ONCE // len(b))
+            for i in range(0, len(a), step):
+                own = slice(i, i + step)
+                meet = (ca[own, None] != cb) & _fits(na[own, None], nb)
+                if same:
+                    meet &= a[own, None] < b
+                x, y = np.nonzero(meet)
+                x += i
+                good = _may_be_linked(wa[x], wb[y], na[x], nb[y])[1]
+                x, y = a[x[good]], b[y[good]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+
+def _columns(rows: pa.StructArray) -> tuple[np.ndarray, ...]:
+    """Ids, components, sizes and the words of sketches."""
+    return *(rows.field(k).to_numpy() for k in range(3)), np.ascontiguousarray(_fixed(rows.field(3), 8 * WORDS)).view(np.uint64)
+
+
+def _near_pairs(blocks: DataFrame) -> DataFrame:
+    """``a, b``: pairs of a band's classes in different components, one at least outside that of the smallest, that may be linked."""
+    x, y = blocks.filter("out").alias("x"), blocks.alias("y")
+    once = ~F.col("y.out") | (F.col("x.block") <= F.col("y.block"))
+    both = x.join(y, (F.col("x.band") == F.col("y.band")) & once)
+    itself = F.col("y.out") & (F.col("x.block") == F.col("y.block"))
+    return both.select(F.col("x.rows").alias("x"), F.col("y.rows").alias("y"), itself.alias("itself")).mapInArrow(_near_in_blocks, "a long, b long").distinct()
+
+
 def _component(df: DataFrame, found: DataFrame) -> DataFrame:
     return df.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
@@ -302,14 +347,10 @@ def near_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
         own = _component(placed, found).select("band", "id", "component", "leader")
         leaders = found.select(F.col("id").alias("leader"), F.col("component").alias("of_leader"))
         own, _ = written(own.join(leaders, "leader", "left").withColumn("of_leader", F.coalesce("of_leader", "leader")).drop("leader"), "placed")
-        some = own.join(own.filter("component <> of_leader").select("band").distinct(), "band", "left_semi")
-        sketches, _ = written(texts_of(docs, some.select(F.col("id").alias("doc_id")).distinct()).mapInArrow(_sketches, "id long, size long, wide array<long>"), "sketches")
-        some, _ = written(some.join(sketches, "id"), "some")  # texts that share an id each have a row
-        x, y = some.filter("component <> of_leader").alias("x"), some.alias("y")
-        once = (F.col("y.component") == F.col("y.of_leader")) | (F.col("x.id") < F.col("y.id"))
-        meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & once & may_be_linked("x", "y")
-        pairs = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        rest, _ = written(pairs.join(stars, ["a", "b"], "left_anti"), "rest")
+        outside = own.join(own.filter("component <> of_leader").select("band").distinct(), "band", "left_semi")
+        sketches, _ = written(texts_of(docs, outside.select(F.col("id").alias("doc_id")).distinct()).mapInArrow(_sketches, "id long, size long, wide binary"), "sketches")
+        blocks, _ = written(_in_blocks(own, sketches), "blocks")  # texts that share an id each have a row
+        rest, _ = written(_near_pairs(blocks).join(stars, ["a", "b"], "left_anti"), "rest")
         if not rest.isEmpty():
             known = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
             found = connected_components(known.union(links(rest)), "a", "b")

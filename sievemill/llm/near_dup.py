@@ -597,9 +597,11 @@ def bit_table(ids: DataFrame) -> tuple[np.ndarray, int]:
     own = ids.select((_place(F.col("doc_id"), bits) + 1).alias("v"))
     pages = own.groupBy(F.bitmap_bucket_number("v").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits"))
     table = np.zeros(1 << (bits - 3), np.uint8)
-    for r in pages.toLocalIterator():  # at most 2 ** bits bits in all
-        at = (r["page"] - 1) * len(r["bits"])
-        table[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    for batch in pages.toArrow().to_batches():  # at most 2 ** bits bits in all, by one job, not one for each partition
+        for page, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            page_bits = np.frombuffer(own.as_buffer(), np.uint8)
+            at = (page - 1) * len(page_bits)
+            table[at : at + len(page_bits)] = page_bits
     return table, bits
 
 

@@ -165,6 +165,45 @@ def test_the_join_compares_sketches_as_arrays_are(spark):
     assert got == want and 10 < len(want) < 1000
 
 
+def test_blocks_of_a_band_meet_like_all_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [rng.sample(range(1 << 20), 120) for _ in range(3)]
+    sets = [np.array(sorted({*rng.sample(base[k % 3], rng.randint(90, 120)), *rng.sample(range(1 << 20), rng.randint(0, 20))}), np.uint64) * np.uint64(1 << 44) for k in range(120)]
+    sketches = spark.createDataFrame([(k, len(x), bytearray(near_dup.wide_sketch(x))) for k, x in enumerate(sets)] + [(7, 3, bytearray(near_dup.wide_sketch(sets[0][:3])))], "id long, size long, wide binary")
+    # bands 0 and 1 mix components, in band 2 all are in that of the smallest; -1 is the component of theirs
+    own = [(band, k, (-1 if k % 4 == 0 or band == 2 else k // 5), -1) for band in range(3) for k in range(band * 10, 100)]
+    monkeypatch.setattr(M, "BLOCK", 16)
+    blocks = M._in_blocks(spark.createDataFrame(own, "band long, id long, component long, of_leader long"), sketches)
+    assert {r.band for r in blocks.select("band").distinct().collect()} == {0, 1} and blocks.count() >= 10
+    got = [(r.a, r.b) for r in M._near_pairs(blocks).collect()]
+    words = np.stack([np.frombuffer(near_dup.wide_sketch(x), np.uint64) for x in sets])
+    where, want = {k: c for band, k, c, _ in own if band == 0}, set()
+    for a in range(100):
+        for b in range(a + 1, 100):
+            one, other = np.array([len(sets[a])]), np.array([len(sets[b])])
+            if where[a] != where[b] and near_dup._fits(one, other)[0] and near_dup._may_be_linked(words[a : a + 1], words[b : b + 1], one, other)[1][0]:
+                want.add((a, b))
+    assert len(got) == len(set(got)) and set(got) == want and 100 < len(want) < 2000
+
+
+def test_a_bit_table_takes_no_job_for_each_partition(spark):
+    conf = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("bit table", "")
+        table, bits = near_dup.bit_table(spark.range(100_000).withColumnRenamed("id", "doc_id"))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("bit table")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(jobs) < 10
+    places = {r[0] for r in spark.range(100_000).select(near_dup._place(F.col("id"), bits)).collect()}
+    assert {int(x) for x in np.flatnonzero(np.unpackbits(table, bitorder="little"))} == places
+
+
 def test_the_query_has_every_row_of_the_table(spark, sf):
     got = {r.doc_id: r for r in M.op11_fingerprints(spark, sf).collect()}
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
