@@ -25,6 +25,8 @@ ALIAS = r"^[A-Za-z][A-Za-z0-9_-]{1,15}$"
 ACRONYM = r"^([A-Z][A-Z0-9_-]{1,14})\s*[:\-]"
 # Statuses under which a final address counts as evidence.
 FOLLOWED = ["reachable", "restricted", "continue_required"]
+#: Rows that hold their group's list are made in pieces of so many rows, and a group has at most so many pieces.
+PIECE_ROWS, PIECES = 10_000, 32
 
 
 def name_key(c: Column) -> Column:
@@ -77,6 +79,23 @@ def member_lists(members: DataFrame, ranks: DataFrame) -> DataFrame:
     return named.groupBy("component").agg(own.alias("m")).filter(F.size("m") > 1).select("component", F.array_join(F.transform("m", lambda x: x["name"]), ";").alias("members"))
 
 
+def rows_with_lists(members: DataFrame, ranks: DataFrame, groups: DataFrame) -> DataFrame:
+    """``id, group, members``: a row for each member with the list of all, which a group of g rows holds g times. A large group's rows
+    are dealt over tasks in pieces, each of which gets the list once, so that no task makes all of them. ``members`` has ranks as ids,
+    ``groups`` has ``component, group, n``."""
+    spark = members.sparkSession
+    cut = F.least(F.lit(PIECES), F.ceil(F.col("n") / PIECE_ROWS)).cast("int")
+    named = members.withColumnRenamed("id", "rank").join(ranks, "rank").join(groups.select("component", "group", cut.alias("cut")), "component")
+    own = named.select("id", "group", "component", F.pmod(F.xxhash64("rank"), "cut").cast("int").alias("piece"))
+    pieces = groups.select("component", F.explode(F.sequence(F.lit(0), cut - 1)).alias("piece"))
+    # Merge joins with the short rows on the left make one row at a time; a join that looks up short rows for a list, or an explode,
+    # holds all that belong to it. By number, as adaptive execution would put pieces together that are small only before the join.
+    lists = pieces.hint("merge").join(member_lists(members, ranks), "component")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = [df.repartition(parts, "component", "piece") for df in (own, lists)]
+    return dealt[0].hint("merge").join(dealt[1], ["component", "piece"]).select("id", "group", "members")
+
+
 def shared_by_all(keys: DataFrame, members: DataFrame) -> DataFrame:
     """Groups of which one key is held by every member."""
     sizes = members.groupBy("component").agg(F.countDistinct("id").alias("n"))
@@ -180,8 +199,7 @@ def incremental_groups(df: DataFrame, canonical: DataFrame, duplicates: DataFram
     by_group = keys_of_groups(on_ranks(duplicates, ranks, "id"), "id", F.array("group"))
     both = by_name.union(by_group)
     members = connected_components(both.select(F.col("id").alias("src"), F.col("first_id").alias("dst")).filter("src <> dst"))
-    groups = numbered_groups(members, prefix).join(member_lists(members, ranks), "component")
-    return members.withColumnRenamed("id", "rank").join(ranks, "rank").join(groups, "component").select("id", "group", "members")
+    return rows_with_lists(members, ranks, numbered_groups(members, prefix))
 
 
 def single_representatives(df: DataFrame, group: str, canonical: str, representative: str, row_id: str) -> DataFrame:

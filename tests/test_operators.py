@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -199,6 +200,26 @@ def test_incremental_groups(spark):
         resolve.incremental_groups(df, frame(spark, "id int, name string", (9, "a"), (1, "a")), frame(spark, "id int, group string", (2, "g")))
 
 
+def test_incremental_groups_makes_a_large_group_in_several_tasks(spark):
+    n = 20_001  # three pieces
+    ids = spark.range(n + 3).select(F.col("id").cast("int").alias("id"))
+    # as for tables that are too large to be sent to every task; of 4 partitions all three pieces fall to one
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        out = resolve.incremental_groups(ids, ids.filter(f"id < {n}").withColumn("name", F.lit("a")), ids.filter(f"id >= {n} and id < {n + 2}").withColumn("group", F.lit("g")))
+        parts = out.groupBy("group", F.spark_partition_id().alias("part")).count().collect()
+        rows = out.groupBy("group").agg(F.countDistinct("id"), F.min("id"), F.max("id"), F.count("*"), F.collect_set(F.md5("members"))).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len([p for p in parts if p[0] == "incremental_dup_0001"]) > 1
+    digest = lambda of: hashlib.md5(";".join(map(str, of)).encode()).hexdigest()
+    assert sorted(map(tuple, rows)) == [("incremental_dup_0001", n, 0, n - 1, n, [digest(range(n))]), ("incremental_dup_0002", 2, n, n + 1, 2, [digest((n, n + 1))])]
+
+
 # ---- chunks
 
 
