@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievemill.functions import tags, urls
 from sievemill.functions import text as X
 
+from sievemill.sources.files import with_long_texts
 from sievemill.sources.shared_tables import written
 
 from .chunk import global_positions
@@ -81,8 +82,9 @@ def member_lists(members: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def rows_with_lists(members: DataFrame, ranks: DataFrame, groups: DataFrame) -> DataFrame:
     """``id, group, members``: a row for each member with the list of all, which a group of g rows holds g times. A large group's rows
-    are dealt over tasks in pieces, each of which gets the list once, so that no task makes all of them. ``members`` has ranks as ids,
-    ``groups`` has ``component, group, n``."""
+    are dealt over tasks in pieces, each of which gets the list once, so that no task makes all of them. Where a group has several
+    pieces, the rows come in a session of their own, whose writers keep a list once in a file. ``members`` has ranks as ids, ``groups``
+    has ``component, group, n``."""
     spark = members.sparkSession
     cut = F.least(F.lit(PIECES), F.ceil(F.col("n") / PIECE_ROWS)).cast("int")
     named = members.withColumnRenamed("id", "rank").join(ranks, "rank").join(groups.select("component", "group", cut.alias("cut")), "component")
@@ -93,7 +95,9 @@ def rows_with_lists(members: DataFrame, ranks: DataFrame, groups: DataFrame) ->
     lists = pieces.hint("merge").join(member_lists(members, ranks), "component")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = [df.repartition(parts, "component", "piece") for df in (own, lists)]
-    return dealt[0].hint("merge").join(dealt[1], ["component", "piece"]).select("id", "group", "members")
+    rows = dealt[0].hint("merge").join(dealt[1], ["component", "piece"]).select("id", "group", "members")
+    large = members.groupBy("component").count().filter(F.col("count") > PIECE_ROWS)
+    return rows if large.isEmpty() else with_long_texts(rows, "members")
 
 
 def shared_by_all(keys: DataFrame, members: DataFrame) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from . import workbooks
 from .shared_tables import exists
 
+#: For rows that repeat long texts: a dictionary of up to so many bytes, and a look at a page's and a row group's size every so many rows.
+LONG_TEXTS = {"parquet.dictionary.page.size": str(64 << 20), "parquet.page.size.row.check.min": "4", "parquet.block.size.row.check.min": "4"}
+
 
 def read_csv_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A CSV file with a header, all cells as texts, empty for null; a missing file has no rows."""
@@ -68,3 +71,17 @@ def read_excel(spark: SparkSession, path: str, sheet: str | int = 0, as_text: bo
     """A sheet of the workbooks at a path. ``as_text``: nothing is inferred, null is empty; else columns of numbers are numbers."""
     found = workbooks.read(spark, path, sheet)
     return found.fillna("") if as_text else workbooks.with_types(found)
+
+
+def with_long_texts(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows in a copy of their session whose Parquet writers keep a text of megabytes, which ``columns`` repeat from row to
+    row, once in a file. Writers give up a dictionary of more than 1 MB otherwise, and then gather a hundred such texts before they
+    look at a page's size. The caller's session stays as it is, settings that were given hold, and ``columns`` get no statistics,
+    which would compare each text twice more."""
+    spark = df.sparkSession
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    given = spark.sparkContext._jsc.hadoopConfiguration()
+    for k, v in {**LONG_TEXTS, **{f"parquet.column.statistics.enabled#{c}": "false" for c in columns}}.items():
+        if own.conf.get(k, None) is None and given.get(k) is None:
+            own.conf.set(k, v)
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own._jsparkSession, df._jdf.queryExecution().logical()), own)

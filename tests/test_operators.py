@@ -220,6 +220,20 @@ def test_incremental_groups_makes_a_large_group_in_several_tasks(spark):
     assert sorted(map(tuple, rows)) == [("incremental_dup_0001", n, 0, n - 1, n, [digest(range(n))]), ("incremental_dup_0002", 2, n, n + 1, 2, [digest((n, n + 1))])]
 
 
+def test_incremental_groups_are_stored_with_a_list_once_in_a_file(spark, tmp_path, monkeypatch):
+    n = 300  # ids of 5 KB make a list of 1.5 MB, more than a writer's dictionary has by default
+    monkeypatch.setattr(resolve, "PIECE_ROWS", 100)
+    ids = spark.range(n).select(F.concat(*[F.md5(F.concat_ws("-", "id", F.lit(i))) for i in range(160)]).alias("id"))
+    before = spark.conf.getAll
+    out = resolve.incremental_groups(ids, ids.withColumn("name", F.lit("a")), ids.limit(0).withColumn("group", F.lit("g")))
+    out.write.parquet(f"{tmp_path}/out")
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 20_000_000  # the rows have 460 MB
+    stored = spark.read.parquet(f"{tmp_path}/out").select("id", F.md5("members").alias("digest")).collect()
+    every = sorted(r.id for r in ids.collect())
+    assert sorted(r.id for r in stored) == every and {r.digest for r in stored} == {hashlib.md5(";".join(every).encode()).hexdigest()}
+    assert spark.conf.getAll == before
+
+
 # ---- chunks
 
 
